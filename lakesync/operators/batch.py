@@ -114,29 +114,50 @@ def _kth_value(sub: DataFrame, name: str, dtype: DataType, k: int, size: int, ex
     return _exact_kth(sub, name, k)
 
 
+def _exact_tuple(region: DataFrame, cols: Sequence[str], k: int) -> list[str | None]:
+    """Sort key of the k-th row of ``region`` by ordering only the key columns.
+
+    One ``TakeOrderedAndProject``; the caller guarantees ``region`` is at most
+    ``exact_rows`` rows, so the final merge is bounded.
+    """
+    named = [F.col(c).alias(f"k{i}") for i, c in enumerate(cols)]
+    row = (region.select(*named)
+           .orderBy(*[F.col(f"k{i}").asc_nulls_last() for i in range(len(cols))])
+           .offset(k - 1).limit(1)
+           .select(*[F.col(f"k{i}").cast("string").alias(f"t{i}") for i in range(len(cols))])
+           .first())
+    return [row[f"t{i}"] for i in range(len(cols))]
+
+
 def nth_sort_key(df: DataFrame, cols: Sequence[str], n: int,
-                 exact_rows: int = DEFAULT_EXACT_ROWS) -> list[str | None]:
+                 exact_rows: int = DEFAULT_EXACT_ROWS, total: int | None = None) -> list[str | None]:
     """Sort key (as typed text, ``None`` = NULL) of the n-th row by ``cols``.
 
     Ascending, NULLS LAST. May return a prefix of ``cols`` when the rows
-    sharing that prefix all belong to the first ``n``.
+    sharing that prefix all belong to the first ``n``. Regions of at most
+    ``exact_rows`` rows are ordered directly; larger ones are narrowed column
+    by column with counts.
     """
     region, k = df, n
-    size = None
+    size = df.count() if total is None else total
     key: list[str | None] = []
-    for name in cols:
+    for i, name in enumerate(cols):
+        if size <= exact_rows:
+            key.extend(_exact_tuple(region, cols[i:], k))
+            break
         c = F.col(name)
         dtype = df.schema[name].dataType
-        stats = region.agg(F.count(F.lit(1)).alias("rows"), F.count(c).alias("nn")).first()
-        size, nn = int(stats["rows"]), int(stats["nn"])
+        nn = int(region.agg(F.count(c).alias("nn")).first()["nn"])
         if k > nn:
             key.append(None)
             region, k, size = region.filter(c.isNull()), k - nn, size - nn
         else:
             text = _kth_value(region.filter(c.isNotNull()), name, dtype, k, nn, exact_rows)
+            key.append(text)
+            if i == len(cols) - 1:
+                break
             v = typed_lit(text, dtype)
             cnt = region.agg(_count_if(c < v).alias("below"), _count_if(c == v).alias("at")).first()
-            key.append(text)
             region, k, size = region.filter(c == v), k - int(cnt["below"]), int(cnt["at"])
         if k >= size:
             break
@@ -171,7 +192,7 @@ def first_rows(df: DataFrame, order_col: str, n: int, keys: Sequence[str] = (),
     total = df.count()
     if total <= n:
         return df
-    key = nth_sort_key(df, cols, n, exact_rows)
+    key = nth_sort_key(df, cols, n, exact_rows, total=total)
     return df.filter(sort_key_at_most(df, cols[:len(key)], key))
 
 

@@ -55,7 +55,11 @@ def touched_pairs(rel: DataFrame, left_col: str, right_col: str, left_ids: DataF
     """
     if strategy == "auto":
         limit = _broadcast_limit(rel.sparkSession)
-        small = left_ids.count() <= limit and right_ids.count() <= limit
+        sizes = {r["side"]: r["n"] for r in (
+            left_ids.select(F.lit("left").alias("side"))
+            .unionByName(right_ids.select(F.lit("right").alias("side")))
+            .groupBy("side").agg(F.count(F.lit(1)).alias("n")).collect())}
+        small = sizes.get("left", 0) <= limit and sizes.get("right", 0) <= limit
         strategy = "exists" if small else "semi"
     pairs = rel.select(F.col(left_col).alias(out_left), F.col(right_col).alias(out_right))
     lid = left_ids.select(F.col(left_ids.columns[0]).alias("__lid"))

@@ -28,6 +28,15 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    NullType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 # Most source keys broadcast to the anti-join (checked by counting).
 DEFAULT_BROADCAST_KEYS = 2_000_000
@@ -41,14 +50,37 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+_DATETIME = (DateType, TimestampType, TimestampNTZType)
+
+
+def assignable(src: DataType, dst: DataType) -> bool:
+    """ANSI store assignment: same type, numeric to numeric, datetime to
+    datetime, anything atomic to string, NULL to anything."""
+    if src == dst or isinstance(src, NullType):
+        return True
+    if isinstance(src, NumericType) and isinstance(dst, NumericType):
+        return True
+    if isinstance(src, _DATETIME) and isinstance(dst, _DATETIME):
+        return True
+    return isinstance(dst, StringType) and src.typeName() not in ("struct", "array", "map", "binary")
+
+
 def align_to(source: DataFrame, target_schema, strict: bool = True) -> DataFrame:
-    """Project ``source`` onto the target's columns and types (MERGE ``*``)."""
+    """Project ``source`` onto the target's columns and types (MERGE ``*``).
+
+    Types follow store-assignment rules: a value that cannot be stored in the
+    target column's type (e.g. text into a number) raises ``TypeError``.
+    """
     missing = [f.name for f in target_schema.fields if f.name not in source.columns]
     if missing and strict:
         raise ValueError(f"source lacks target columns {missing}")
     cols = []
+    src_types = {f.name: f.dataType for f in source.schema.fields}
     for f in target_schema.fields:
         if f.name in source.columns:
+            if not assignable(src_types[f.name], f.dataType):
+                raise TypeError(f"column {f.name!r}: cannot store {src_types[f.name].simpleString()} "
+                                f"in {f.dataType.simpleString()}")
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
@@ -62,16 +94,24 @@ def _non_null(keys: list[str]) -> Column:
     return cond
 
 
-def assert_unique_keys(source: DataFrame, keys: str | Sequence[str]) -> None:
-    """Raise :class:`DuplicateKeyError` if two rows share a non-NULL key.
+def key_stats(source: DataFrame, keys: str | Sequence[str]) -> tuple[int, int]:
+    """``(rows with a non-NULL key, largest number of rows sharing one key)``.
 
-    One partial (map-side) count per key, then a shuffle of per-key counts.
+    One job: a per-key count (partial, map-side) and a global max/sum of it.
     """
     keys = _keys(keys)
-    dup = (source.filter(_non_null(keys)).groupBy(*keys).count()
-           .filter(F.col("count") > 1).limit(1).collect())
-    if dup:
-        raise DuplicateKeyError(f"several source rows share key {dup[0].asDict()}")
+    row = (source.filter(_non_null(keys)).groupBy(*keys).count()
+           .agg(F.sum("count").alias("rows"), F.max("count").alias("most")).first())
+    return int(row["rows"] or 0), int(row["most"] or 0)
+
+
+def assert_unique_keys(source: DataFrame, keys: str | Sequence[str]) -> int:
+    """Raise :class:`DuplicateKeyError` if two rows share a non-NULL key;
+    returns the number of rows with a non-NULL key."""
+    rows, most = key_stats(source, keys)
+    if most > 1:
+        raise DuplicateKeyError(f"{most} source rows share one value of {list(_keys(keys))}")
+    return rows
 
 
 def latest_per_key(source: DataFrame, keys: str | Sequence[str], order_col: str) -> DataFrame:
@@ -98,8 +138,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
     for k in keys:
         if k not in target.columns or k not in source.columns:
             raise ValueError(f"merge key {k!r} missing from target or source")
+    n_keys = None
     if on_duplicate == "error":
-        assert_unique_keys(source, keys)
+        n_keys = assert_unique_keys(source, keys)
     elif on_duplicate == "latest":
         if not order_col:
             raise ValueError("on_duplicate='latest' needs order_col")
@@ -108,8 +149,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
     incoming = align_to(source, target.schema)
     source_keys = incoming.select(*keys).filter(_non_null(keys))
-    if broadcast_keys and source_keys.count() <= broadcast_keys:
-        source_keys = F.broadcast(source_keys)
+    if broadcast_keys:
+        if n_keys is None:
+            n_keys = source_keys.count()
+        if n_keys <= broadcast_keys:
+            source_keys = F.broadcast(source_keys)
     kept = target.join(source_keys, on=keys, how="left_anti")
     return kept.unionByName(incoming)
 
