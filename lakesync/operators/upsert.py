@@ -153,8 +153,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
         if n_keys is None:
             n_keys = source_keys.count()
         if n_keys <= broadcast_keys:
-            source_keys = F.broadcast(source_keys)
-    kept = target.join(source_keys, on=keys, how="left_anti")
+            kept = target.join(F.broadcast(source_keys), on=keys, how="left_anti")
+            return kept.unionByName(incoming)
+    # Shuffle join: NULL-key target rows can never match, so they bypass the
+    # exchange instead of all hashing to one reducer.
+    kept = (target.filter(_non_null(keys)).join(source_keys, on=keys, how="left_anti")
+            .unionByName(target.filter(~_non_null(keys))))
     return kept.unionByName(incoming)
 
 

@@ -46,6 +46,7 @@ PAIRS_LOADED_BEFORE = "2001-07-01 00:00:00"
 BATCH_ROWS = 1000
 DAILY_RUN_DATE = "2024-01-15"
 SMALL_FILES = 64
+STREAM_FILES = 8
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -303,6 +304,21 @@ def q_job_maintenance(spark, sf_dir):
     return table.read().select(*ORDER_COLS)
 
 
+def q_streaming_incremental_load(spark, sf_dir):
+    from lakesync.streaming import stream_incremental_load
+
+    events = _t(spark, sf_dir, "events")
+    source_dir = scratch_path(spark, "landing")
+    events.repartitionByRange(STREAM_FILES, "ts").write.parquet(source_dir, mode="append")
+    revised = (_events_from(events).withColumn("value", F.col("value") * 2)
+               .withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR")))
+    revised.repartitionByRange(STREAM_FILES // 2, "ts").write.parquet(source_dir, mode="append")
+    target = _scratch(spark, "streamed")
+    stream_incremental_load(spark, source_dir, events.schema, target, keys=["event_id"],
+                            max_files_per_trigger=STREAM_FILES // 4, order_col="ts")
+    return target.read().select(*EVENT_COLS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "checkpoint_max": q_checkpoint_max,
     "checkpoint_latest": q_checkpoint_latest,
@@ -335,6 +351,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_backfill": q_job_backfill,
     "job_relation_to_staging": q_job_relation_to_staging,
     "job_maintenance": q_job_maintenance,
+    "streaming_incremental_load": q_streaming_incremental_load,
 }
 
 
@@ -415,4 +432,8 @@ ORACLE_SQL: dict[str, str] = {
     "job_backfill": _BACKFILL,
     "job_relation_to_staging": _RD,
     "job_maintenance": f"select {_OR} from orders",
+    "streaming_incremental_load": (
+        f"select event_id, case when ts >= timestamp '{EVENTS_LOADED_BEFORE}' then ts + interval '1' hour "
+        f"else ts end as ts, user_id, event_type, case when ts >= timestamp '{EVENTS_LOADED_BEFORE}' "
+        f"then value * 2 else value end as value, props from events"),
 }
