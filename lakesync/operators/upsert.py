@@ -130,31 +130,38 @@ def latest_per_key(source: DataFrame, keys: str | Sequence[str], order_col: str)
     return latest.unionByName(source.filter(~_non_null(keys)))
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
-           on_duplicate: str = "error", order_col: str | None = None,
-           broadcast_keys: int | None = DEFAULT_BROADCAST_KEYS) -> DataFrame:
-    """New contents of ``target`` after merging ``source`` on ``keys``."""
+def prepare_source(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
+                   on_duplicate: str = "error", order_col: str | None = None) -> tuple[DataFrame, int]:
+    """Validate and de-duplicate ``source`` for a merge into ``target``.
+
+    Returns the source projected onto the target's columns and types, and the
+    number of its rows with a non-NULL key (a checked size for broadcasts).
+    """
     keys = _keys(keys)
     for k in keys:
         if k not in target.columns or k not in source.columns:
             raise ValueError(f"merge key {k!r} missing from target or source")
-    n_keys = None
     if on_duplicate == "error":
         n_keys = assert_unique_keys(source, keys)
-    elif on_duplicate == "latest":
+        return align_to(source, target.schema), n_keys
+    if on_duplicate == "latest":
         if not order_col:
             raise ValueError("on_duplicate='latest' needs order_col")
         source = latest_per_key(source, keys, order_col)
     elif on_duplicate != "allow":
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
     incoming = align_to(source, target.schema)
+    return incoming, incoming.filter(_non_null(keys)).count()
+
+
+def merge_prepared(target: DataFrame, incoming: DataFrame, keys: Sequence[str], n_keys: int,
+                   broadcast_keys: int | None = DEFAULT_BROADCAST_KEYS) -> DataFrame:
+    """``target`` anti-joined with the source keys, plus the source rows."""
+    keys = _keys(keys)
     source_keys = incoming.select(*keys).filter(_non_null(keys))
-    if broadcast_keys:
-        if n_keys is None:
-            n_keys = source_keys.count()
-        if n_keys <= broadcast_keys:
-            kept = target.join(F.broadcast(source_keys), on=keys, how="left_anti")
-            return kept.unionByName(incoming)
+    if broadcast_keys and n_keys <= broadcast_keys:
+        kept = target.join(F.broadcast(source_keys), on=keys, how="left_anti")
+        return kept.unionByName(incoming)
     # Shuffle join: NULL-key target rows can never match, so they bypass the
     # exchange instead of all hashing to one reducer.
     kept = (target.filter(_non_null(keys)).join(source_keys, on=keys, how="left_anti")
@@ -162,6 +169,37 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
     return kept.unionByName(incoming)
 
 
+def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
+           on_duplicate: str = "error", order_col: str | None = None,
+           broadcast_keys: int | None = DEFAULT_BROADCAST_KEYS) -> DataFrame:
+    """New contents of ``target`` after merging ``source`` on ``keys``."""
+    incoming, n_keys = prepare_source(target, source, keys, on_duplicate, order_col)
+    return merge_prepared(target, incoming, _keys(keys), n_keys, broadcast_keys)
+
+
+def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``(inserts, updates)`` of a merge with a small, prepared source.
+
+    ``inserts``: source rows whose key is not in the target (NULL keys
+    included). ``updates``: source rows matching a target row whose content
+    differs (NULL-safe comparison). The source keys are broadcast into one
+    scan of the target; only matched target rows, at most as many as the
+    source has, reach the comparison. When ``updates`` is empty the merge is
+    an append of ``inserts``: re-read boundary rows (E1) cost nothing.
+    """
+    keys = _keys(keys)
+    src_keys = incoming.select(*keys).filter(_non_null(keys)).distinct()
+    matched = target.join(F.broadcast(src_keys), on=keys, how="left_semi")
+    inserts = incoming.join(matched.select(*keys).distinct(), on=keys, how="left_anti")
+    others = [c for c in target.columns if c not in keys]
+    same = F.lit(True)
+    for c in others:
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
+    updates = (incoming.alias("s").join(matched.alias("t"), on=keys, how="inner")
+               .filter(~same).select(*keys))
+    return inserts, updates
+
+
 def insert_missing(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
                    broadcast_keys: int | None = DEFAULT_BROADCAST_KEYS) -> DataFrame:
     """Rows of ``source`` whose key is not yet in ``target`` (DML-2 on a

@@ -52,8 +52,8 @@ def incremental_load(source: DataFrame, target, column: str, keys: Sequence[str]
     batch = staged(bounded_batch(source, column, max_rows, keys=keys, checkpoint=cp,
                                  with_ties=with_ties, exact_rows=exact_rows))
     if exists:
-        target.merge(batch, list(keys))
-        return RunReport("merge", cp)
+        how = target.merge(batch, list(keys))
+        return RunReport("merge", cp, details={"write": how})
     target.append(batch)
     return RunReport("append", cp)
 

@@ -48,3 +48,9 @@ def size_and_files(spark: SparkSession, path: str) -> tuple[int, int]:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file (names starting ``_`` are not data)."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()

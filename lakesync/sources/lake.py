@@ -27,10 +27,20 @@ from pyspark.sql.types import StructField, StructType
 
 from lakesync.functions.windows import run_date_suffix
 from lakesync.operators import checkpoint as _cp
-from lakesync.operators.upsert import align_to, insert_missing, upsert
+from lakesync.operators.upsert import (
+    DEFAULT_BROADCAST_KEYS,
+    align_to,
+    changed_rows,
+    insert_missing,
+    merge_prepared,
+    prepare_source,
+)
 from lakesync.sources import files
 
 SNAPSHOT = "snapshot="
+# Marks a snapshot whose files do not all share one schema (after an append
+# that added or left out columns); only then do reads merge footers.
+MIXED_SCHEMA = "_MIXED_SCHEMA"
 _SNAP_RE = re.compile(r"^snapshot=(\d+)$")
 
 
@@ -97,7 +107,8 @@ class LakeTable:
         cur = self.current()
         if cur is None:
             raise TableNotFound(self.path)
-        return self.spark.read.option("mergeSchema", "true").parquet(cur[1])
+        mixed = files.exists(self.spark, f"{cur[1]}/{MIXED_SCHEMA}")
+        return self.spark.read.option("mergeSchema", str(mixed).lower()).parquet(cur[1])
 
     def read_or_none(self) -> DataFrame | None:
         """SRC-7: ``None`` only when the table does not exist."""
@@ -128,7 +139,10 @@ class LakeTable:
         if cur is None:
             self._write_snapshot(df)
             return
-        union_schema(self.schema(), df.schema)
+        old = self.schema()
+        merged = union_schema(old, df.schema)
+        if [f.name for f in merged.fields] != [f.name for f in old.fields] or set(df.columns) != set(old.fieldNames()):
+            files.touch(self.spark, f"{cur[1]}/{MIXED_SCHEMA}")
         df.write.mode("append").parquet(cur[1])
 
     def overwrite(self, df: DataFrame, merge_schema: bool = True) -> None:
@@ -155,9 +169,25 @@ class LakeTable:
             raise ValueError(f"table {self.path} has no columns {extra}")
         self._write_snapshot(align_to(df, schema, strict=False))
 
-    def merge(self, source: DataFrame, keys: str | Sequence[str], **kwargs) -> None:
-        """DML-1/DML-2: upsert ``source`` on ``keys`` into a new snapshot."""
-        self._write_snapshot(upsert(self.read(), source, keys, **kwargs))
+    def merge(self, source: DataFrame, keys: str | Sequence[str], on_duplicate: str = "error",
+              order_col: str | None = None, broadcast_keys: int | None = DEFAULT_BROADCAST_KEYS) -> str:
+        """DML-1/DML-2: upsert ``source`` on ``keys``.
+
+        When the source is small (count checked) and changes no existing row,
+        only its new keys are appended to the current snapshot; otherwise the
+        merged table is written as a new snapshot. Returns ``"append"`` or
+        ``"rewrite"``.
+        """
+        keys = [keys] if isinstance(keys, str) else list(keys)
+        target = self.read()
+        incoming, n_keys = prepare_source(target, source, keys, on_duplicate, order_col)
+        if broadcast_keys and n_keys <= broadcast_keys:
+            inserts, updates = changed_rows(target, incoming, keys)
+            if updates.isEmpty():
+                inserts.write.mode("append").parquet(self.current()[1])
+                return "append"
+        self._write_snapshot(merge_prepared(target, incoming, keys, n_keys, broadcast_keys))
+        return "rewrite"
 
     def insert_missing(self, source: DataFrame, keys: str | Sequence[str]) -> None:
         """DML-2 for key-only tables: append the pairs not yet present."""

@@ -89,3 +89,31 @@ def test_compaction_and_vacuum(spark, scratch):
     assert t.read().count() == orders.count()
     with pytest.raises(ValueError):
         maintenance.vacuum_plan(t, retention_hours=-1)
+
+
+def test_merge_appends_when_no_existing_row_changes(spark, scratch):
+    t = LakeTable(spark, scratch("fastpath"))
+    t.append(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"))
+    # boundary row re-read unchanged + one new row: append only, same snapshot
+    assert t.merge(spark.createDataFrame([(2, "b"), (3, "c")], "id long, v string"), "id") == "append"
+    assert len(t.snapshots()) == 1
+    assert sorted(tuple(r) for r in t.read().collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    # a changed row forces a new snapshot
+    assert t.merge(spark.createDataFrame([(2, "B"), (None, "n")], "id long, v string"), "id") == "rewrite"
+    assert len(t.snapshots()) == 2
+    assert sorted((tuple(r) for r in t.read().collect()), key=repr) == \
+        sorted([(1, "a"), (2, "B"), (3, "c"), (None, "n")], key=repr)
+    # NULL-safe comparison: a NULL value equal to NULL is no change
+    t.merge(spark.createDataFrame([(4, None)], "id long, v string"), "id")
+    assert t.merge(spark.createDataFrame([(4, None)], "id long, v string"), "id") == "append"
+    assert t.read().count() == 5
+
+
+def test_mixed_schema_marker_only_after_schema_change(spark, scratch):
+    t = LakeTable(spark, scratch("marker"))
+    t.append(spark.createDataFrame([(1, "a")], "id long, v string"))
+    t.append(spark.createDataFrame([(2, "b")], "id long, v string"))
+    assert not os.path.exists(f"{t.current()[1].replace('file:', '')}/_MIXED_SCHEMA")
+    t.append(spark.createDataFrame([(3,)], "id long"))
+    assert os.path.exists(f"{t.current()[1].replace('file:', '')}/_MIXED_SCHEMA")
+    assert sorted(tuple(r) for r in t.read().select("id", "v").collect()) == [(1, "a"), (2, "b"), (3, None)]
