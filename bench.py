@@ -59,6 +59,7 @@ def alternatives(spark, sf_dir: str, repeat: int) -> dict:
     cases = {
         "bounded_batch_threshold": lambda: _run(first_rows(events, "ts", n, keys=["event_id"])),
         "bounded_batch_sorted_limit": lambda: _run(first_rows_sorted(events, "ts", n, keys=["event_id"])),
+        "bounded_batch_descent": lambda: _run(first_rows(events, "ts", n, keys=["event_id"], exact_rows=n)),
         "relation_delta_exists": lambda: _run(_relation(spark, sf_dir, "exists")),
         "relation_delta_semi": lambda: _run(_relation(spark, sf_dir, "semi")),
         "upsert_broadcast_keys": lambda: _run(upsert(target, source, "o_orderkey")),

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesync.functions.windows import Bound, between_half_open, previous_day
+from lakesync.sources.lake import staged
 
 # Upper bound on distinct ids broadcast per side (8-byte keys plus hash-table
 # overhead stay well below the default 8 GB broadcast limit).
@@ -53,19 +54,21 @@ def touched_pairs(rel: DataFrame, left_col: str, right_col: str, left_ids: DataF
     NULL on one side of a pair does not block a match on the other side;
     a NULL id never matches.
     """
-    if strategy == "auto":
+    checked = strategy == "auto"
+    if checked:
+        # Materialise the id sets once (reliable checkpoint under
+        # spark.checkpoint.dir), count them, and join from the same files.
+        left_ids, right_ids = staged(left_ids), staged(right_ids)
         limit = _broadcast_limit(rel.sparkSession)
-        sizes = {r["side"]: r["n"] for r in (
-            left_ids.select(F.lit("left").alias("side"))
-            .unionByName(right_ids.select(F.lit("right").alias("side")))
-            .groupBy("side").agg(F.count(F.lit(1)).alias("n")).collect())}
-        small = sizes.get("left", 0) <= limit and sizes.get("right", 0) <= limit
+        small = left_ids.count() <= limit and right_ids.count() <= limit
         strategy = "exists" if small else "semi"
     pairs = rel.select(F.col(left_col).alias(out_left), F.col(right_col).alias(out_right))
     lid = left_ids.select(F.col(left_ids.columns[0]).alias("__lid"))
     rid = right_ids.select(F.col(right_ids.columns[0]).alias("__rid"))
     if strategy == "exists":
-        touched = pairs.filter(F.col(out_left).isin(F.broadcast(lid)) | F.col(out_right).isin(F.broadcast(rid)))
+        if checked:  # sizes counted above: broadcast both id sets
+            lid, rid = F.broadcast(lid), F.broadcast(rid)
+        touched = pairs.filter(F.col(out_left).isin(lid) | F.col(out_right).isin(rid))
     elif strategy == "semi":
         by_left = pairs.join(lid, F.col(out_left) == F.col("__lid"), "left_semi")
         by_right = pairs.join(rid, F.col(out_right) == F.col("__rid"), "left_semi")

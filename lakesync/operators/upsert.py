@@ -131,11 +131,14 @@ def latest_per_key(source: DataFrame, keys: str | Sequence[str], order_col: str)
 
 
 def prepare_source(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
-                   on_duplicate: str = "error", order_col: str | None = None) -> tuple[DataFrame, int]:
+                   on_duplicate: str = "error", order_col: str | None = None,
+                   persist: bool = False) -> tuple[DataFrame, int]:
     """Validate and de-duplicate ``source`` for a merge into ``target``.
 
     Returns the source projected onto the target's columns and types, and the
     number of its rows with a non-NULL key (a checked size for broadcasts).
+    With ``persist`` the returned frame is cached before it is first counted
+    (the caller unpersists it).
     """
     keys = _keys(keys)
     for k in keys:
@@ -143,7 +146,8 @@ def prepare_source(target: DataFrame, source: DataFrame, keys: str | Sequence[st
             raise ValueError(f"merge key {k!r} missing from target or source")
     if on_duplicate == "error":
         n_keys = assert_unique_keys(source, keys)
-        return align_to(source, target.schema), n_keys
+        incoming = align_to(source, target.schema)
+        return (incoming.persist() if persist else incoming), n_keys
     if on_duplicate == "latest":
         if not order_col:
             raise ValueError("on_duplicate='latest' needs order_col")
@@ -151,6 +155,8 @@ def prepare_source(target: DataFrame, source: DataFrame, keys: str | Sequence[st
     elif on_duplicate != "allow":
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
     incoming = align_to(source, target.schema)
+    if persist:
+        incoming = incoming.persist()
     return incoming, incoming.filter(_non_null(keys)).count()
 
 

@@ -180,14 +180,19 @@ class LakeTable:
         """
         keys = [keys] if isinstance(keys, str) else list(keys)
         target = self.read()
-        incoming, n_keys = prepare_source(target, source, keys, on_duplicate, order_col)
-        if broadcast_keys and n_keys <= broadcast_keys:
-            inserts, updates = changed_rows(target, incoming, keys)
-            if updates.isEmpty():
-                inserts.write.mode("append").parquet(self.current()[1])
-                return "append"
-        self._write_snapshot(merge_prepared(target, incoming, keys, n_keys, broadcast_keys))
-        return "rewrite"
+        # The prepared source is read up to four times (count, change check,
+        # write); it is cached for this call only and recomputed if lost.
+        incoming, n_keys = prepare_source(target, source, keys, on_duplicate, order_col, persist=True)
+        try:
+            if broadcast_keys and n_keys <= broadcast_keys:
+                inserts, updates = changed_rows(target, incoming, keys)
+                if updates.isEmpty():
+                    inserts.write.mode("append").parquet(self.current()[1])
+                    return "append"
+            self._write_snapshot(merge_prepared(target, incoming, keys, n_keys, broadcast_keys))
+            return "rewrite"
+        finally:
+            incoming.unpersist()
 
     def insert_missing(self, source: DataFrame, keys: str | Sequence[str]) -> None:
         """DML-2 for key-only tables: append the pairs not yet present."""
