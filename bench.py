@@ -79,7 +79,7 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app_name="lakesync-bench", extra={"spark.driver.memory": "16g"})
-    ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="lakesync-bench-ckpt-"))
+    ensure_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="lakesync-bench-ckpt-"))
     names = only or list(QUERIES)
     times = {}
     for name in names:

@@ -58,7 +58,7 @@ def touched_pairs(rel: DataFrame, left_col: str, right_col: str, left_ids: DataF
     if checked:
         # Materialise the id sets once (reliable checkpoint under
         # spark.checkpoint.dir), count them, and join from the same files.
-        left_ids, right_ids = staged(left_ids), staged(right_ids)
+        left_ids, right_ids = staged(left_ids, required=False), staged(right_ids, required=False)
         limit = _broadcast_limit(rel.sparkSession)
         small = left_ids.count() <= limit and right_ids.count() <= limit
         strategy = "exists" if small else "semi"

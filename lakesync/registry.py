@@ -53,12 +53,19 @@ ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_ord
 PAIR_COLS = ["lead_id", "tag_id"]
 
 
+def _ready(spark: SparkSession) -> None:
+    """Use the session's shared checkpoint folder; only a session without one
+    (a local test run) gets a temporary folder."""
+    ensure_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="lakesync-ckpt-"))
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _ready(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _scratch(spark: SparkSession, name: str) -> LakeTable:
-    ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="lakesync-ckpt-"))
+    _ready(spark)
     return LakeTable(spark, scratch_path(spark, name))
 
 

@@ -55,11 +55,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the session's checkpoint folder, or ``fallback`` only when none is set."""
+def ensure_checkpoint_dir(spark: SparkSession, fallback) -> str:
+    """Use the session's checkpoint folder, or ``fallback`` (a path, or a
+    callable returning one) only when none is set."""
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get(
             "spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(fallback)
+        spark.sparkContext.setCheckpointDir(fallback() if callable(fallback) else fallback)
     return checkpoint_dir(spark)
 
 

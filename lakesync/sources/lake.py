@@ -202,17 +202,19 @@ class LakeTable:
         insert_missing(self.read(), source, keys).write.mode("append").parquet(cur[1])
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, required: bool = True) -> DataFrame:
     """Materialise ``df`` under the shared checkpoint folder and cut its lineage.
 
     A reliable checkpoint survives executor loss (unlike ``localCheckpoint``).
+    With ``required=False`` a session without ``spark.checkpoint.dir`` gets
+    ``df`` back unchanged (it is then recomputed where it is used).
     """
     from lakesync.session import checkpoint_dir
 
-    checkpoint_dir(df.sparkSession)
+    try:
+        checkpoint_dir(df.sparkSession)
+    except RuntimeError:
+        if required:
+            raise
+        return df
     return df.checkpoint(eager=True)
-
-
-def literal_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Project ``columns`` in the given order (stable column order for readers)."""
-    return df.select(*[F.col(c) for c in columns])

@@ -17,7 +17,7 @@ def spark():
     from lakesync.session import ensure_checkpoint_dir, local_session
 
     session = local_session(cores="*", shuffle_partitions=8, app_name="lakesync-tests")
-    ensure_checkpoint_dir(session, tempfile.mkdtemp(prefix="lakesync-tests-ckpt-"))
+    ensure_checkpoint_dir(session, lambda: tempfile.mkdtemp(prefix="lakesync-tests-ckpt-"))
     yield session
     session.stop()
 

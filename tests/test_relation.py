@@ -43,3 +43,12 @@ def test_plans(spark):
     assert "ExistenceJoin" in exists_plan and "BroadcastNestedLoopJoin" not in exists_plan
     semi_plan = _relation(spark, SF_CHECK, "semi")._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in semi_plan and "BroadcastNestedLoopJoin" not in semi_plan
+
+
+def test_checkpoint_plans(spark):
+    from lakesync.registry import q_checkpoint_latest, q_checkpoint_max
+
+    top1 = q_checkpoint_latest(spark, SF_CHECK)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=1" in top1
+    agg = q_checkpoint_max(spark, SF_CHECK)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in agg and "ReadSchema: struct<o_orderdate:timestamp_ntz>" in agg

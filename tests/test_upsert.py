@@ -68,3 +68,26 @@ def test_small_source_is_broadcast_and_target_not_shuffled(spark):
     plan = upsert(orders, source, "o_orderkey")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
     assert "SortMergeJoin" not in plan
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_rows_st = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 3)), max_size=12)
+
+
+@settings(max_examples=20, deadline=None)
+@given(_rows_st, _rows_st)
+def test_property_upsert_matches_merge_definition(spark, target_rows, source_rows):
+    seen, src = set(), []
+    for k, v in source_rows:  # unique non-NULL keys in the source
+        if k is None or k not in seen:
+            src.append((k, v))
+            seen.add(k)
+    target = spark.createDataFrame(target_rows, "id long, v long")
+    source = spark.createDataFrame(src, "id long, v long")
+    src_keys = {k for k, _ in src if k is not None}
+    want = [r for r in target_rows if r[0] is None or r[0] not in src_keys] + src
+    for bk in (None, 1000):
+        got = upsert(target, source, "id", broadcast_keys=bk)
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
