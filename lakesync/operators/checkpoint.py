@@ -66,5 +66,11 @@ def high_water_mark(df: DataFrame, column: str) -> Checkpoint | None:
 
 
 def latest_checkpoint(df: DataFrame, value_col: str, order_col: str | None = None) -> Checkpoint | None:
-    """TOP-1 collected: ``None`` for an empty table (E3) instead of an IndexError."""
+    """TOP-1 collected: ``None`` for an empty table (E3) instead of an IndexError.
+
+    When the order column is the value column this is exactly ``max`` and is
+    planned as one (a partial hash aggregate).
+    """
+    if order_col is None or order_col == value_col:
+        return high_water_mark(df, value_col)
     return _collect(latest_value_frame(df, value_col, order_col), df, value_col)

@@ -56,11 +56,18 @@ def touched_pairs(rel: DataFrame, left_col: str, right_col: str, left_ids: DataF
     """
     checked = strategy == "auto"
     if checked:
-        # Materialise the id sets once (reliable checkpoint under
-        # spark.checkpoint.dir), count them, and join from the same files.
-        left_ids, right_ids = staged(left_ids, required=False), staged(right_ids, required=False)
+        # Materialise both id sets once, as one tagged frame (one job, a
+        # reliable checkpoint under spark.checkpoint.dir), count each side
+        # from it, and join from the same files.
+        tagged = staged(left_ids.select(F.lit(0).alias("side"), F.col(left_ids.columns[0]).alias("id"))
+                        .unionByName(right_ids.select(F.lit(1).alias("side"),
+                                                      F.col(right_ids.columns[0]).alias("id"))),
+                        required=False)
+        sizes = {r["side"]: r["n"] for r in tagged.groupBy("side").count().withColumnRenamed("count", "n").collect()}
+        left_ids = tagged.filter(F.col("side") == 0).select("id")
+        right_ids = tagged.filter(F.col("side") == 1).select("id")
         limit = _broadcast_limit(rel.sparkSession)
-        small = left_ids.count() <= limit and right_ids.count() <= limit
+        small = sizes.get(0, 0) <= limit and sizes.get(1, 0) <= limit
         strategy = "exists" if small else "semi"
     pairs = rel.select(F.col(left_col).alias(out_left), F.col(right_col).alias(out_right))
     lid = left_ids.select(F.col(left_ids.columns[0]).alias("__lid"))
