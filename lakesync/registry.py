@@ -47,6 +47,10 @@ BATCH_ROWS = 1000
 DAILY_RUN_DATE = "2024-01-15"
 SMALL_FILES = 64
 STREAM_FILES = 8
+# Region size below which the n-th key is found by one top-k; the descent
+# queries set it far below the table size so the scale path (percentile
+# brackets + counts) is what the oracle checks.
+DESCENT_EXACT_ROWS = 256
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -128,6 +132,18 @@ def q_bounded_batch_events(spark, sf_dir):
     return bounded_batch(events, "ts", BATCH_ROWS, keys=["event_id"]).select(*EVENT_COLS)
 
 
+def q_bounded_batch_descent(spark, sf_dir):
+    events = _t(spark, sf_dir, "events")
+    return first_rows(events, "ts", BATCH_ROWS, keys=["event_id"],
+                      exact_rows=DESCENT_EXACT_ROWS).select(*EVENT_COLS)
+
+
+def q_bounded_batch_with_ties_descent(spark, sf_dir):
+    orders = _t(spark, sf_dir, "orders")
+    return first_rows(orders, "o_orderdate", BATCH_ROWS, with_ties=True,
+                      exact_rows=DESCENT_EXACT_ROWS).select("o_orderkey", "o_orderdate")
+
+
 def q_previous_day_window(spark, sf_dir):
     events = _t(spark, sf_dir, "events")
     return events.filter(previous_day(events, "ts", PREVIOUS_DAY_AS_OF)).select(*EVENT_COLS)
@@ -142,6 +158,11 @@ def q_relation_delta(spark, sf_dir):
     return _relation(spark, sf_dir).select(*PAIR_COLS)
 
 
+def q_relation_delta_previous_day(spark, sf_dir):
+    lead, tag, rel = _relation_inputs(spark, sf_dir)
+    return relation_delta(lead, tag, rel, as_of=RELATION_END[:10]).select(*PAIR_COLS)
+
+
 def q_relation_delta_semi(spark, sf_dir):
     return _relation(spark, sf_dir, strategy="semi").select(*PAIR_COLS)
 
@@ -334,9 +355,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bounded_batch_next": q_bounded_batch_next,
     "bounded_batch_with_ties": q_bounded_batch_with_ties,
     "bounded_batch_events": q_bounded_batch_events,
+    "bounded_batch_descent": q_bounded_batch_descent,
+    "bounded_batch_with_ties_descent": q_bounded_batch_with_ties_descent,
     "previous_day_window": q_previous_day_window,
     "backfill_lag_window": q_backfill_lag_window,
     "relation_delta": q_relation_delta,
+    "relation_delta_previous_day": q_relation_delta_previous_day,
     "relation_delta_semi": q_relation_delta_semi,
     "relation_delta_exists": q_relation_delta_exists,
     "upsert_by_key": q_upsert_by_key,
@@ -396,10 +420,15 @@ ORACLE_SQL: dict[str, str] = {
                                 f"rank() over (order by o_orderdate asc nulls last) as r from orders) q "
                                 f"where r <= {BATCH_ROWS}"),
     "bounded_batch_events": _EB1,
+    "bounded_batch_descent": _EB1,
+    "bounded_batch_with_ties_descent": (f"select o_orderkey, o_orderdate from (select o_orderkey, o_orderdate, "
+                                        f"rank() over (order by o_orderdate asc nulls last) as r from orders) q "
+                                        f"where r <= {BATCH_ROWS}"),
     "previous_day_window": (f"select {_EV} from events where ts >= timestamp '2024-01-14 00:00:00' "
                             f"and ts < timestamp '{PREVIOUS_DAY_AS_OF} 00:00:00'"),
     "backfill_lag_window": _BACKFILL,
     "relation_delta": _RD,
+    "relation_delta_previous_day": _RD,
     "relation_delta_semi": _RD,
     "relation_delta_exists": _RD,
     "upsert_by_key": (f"with t as (select o_orderkey, o_custkey, o_orderstatus, cast(0 as double) as o_totalprice, "
