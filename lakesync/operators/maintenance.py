@@ -55,7 +55,7 @@ def compact(table: LakeTable, target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES
     plan = compaction_plan(table, target_file_bytes)
     if plan["needed"] or force:
         df = table.read()
-        table._write_snapshot(df.coalesce(plan["target_files"]))
+        table.write_snapshot(df.coalesce(plan["target_files"]))
     return plan
 
 

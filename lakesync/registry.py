@@ -22,7 +22,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesync.functions.windows import between_half_open, lagged_range, previous_day, since
+from lakesync.functions.windows import lagged_range, previous_day, since
 from lakesync.operators import maintenance
 from lakesync.operators.batch import bounded_batch, first_rows
 from lakesync.operators.checkpoint import latest_checkpoint, latest_value_frame, max_value_frame

@@ -22,7 +22,6 @@ import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from lakesync.functions.windows import run_date_suffix
@@ -127,7 +126,7 @@ class LakeTable:
         return None if df is None else _cp.latest_checkpoint(df, value_col, order_col)
 
     # ---- writes -------------------------------------------------------
-    def _write_snapshot(self, df: DataFrame) -> str:
+    def write_snapshot(self, df: DataFrame) -> str:
         target = self._next_dir()
         df.write.mode("errorifexists").parquet(target)
         return target
@@ -137,7 +136,7 @@ class LakeTable:
         columns must keep their type. Creates the table if missing."""
         cur = self.current()
         if cur is None:
-            self._write_snapshot(df)
+            self.write_snapshot(df)
             return
         old = self.schema()
         merged = union_schema(old, df.schema)
@@ -151,7 +150,7 @@ class LakeTable:
         the table takes ``df``'s schema (drop + create, SNK-3 semantics)."""
         if merge_schema and self.exists():
             df = align_to(df, union_schema(self.schema(), df.schema), strict=False)
-        self._write_snapshot(df)
+        self.write_snapshot(df)
 
     def replace(self, df: DataFrame) -> None:
         """Staging replace (SNK-3 semantics): drop and recreate from ``df``."""
@@ -167,7 +166,7 @@ class LakeTable:
         extra = [c for c in df.columns if c not in schema.fieldNames()]
         if extra:
             raise ValueError(f"table {self.path} has no columns {extra}")
-        self._write_snapshot(align_to(df, schema, strict=False))
+        self.write_snapshot(align_to(df, schema, strict=False))
 
     def merge(self, source: DataFrame, keys: str | Sequence[str], on_duplicate: str = "error",
               order_col: str | None = None, broadcast_keys: int | None = DEFAULT_BROADCAST_KEYS) -> str:
@@ -189,7 +188,7 @@ class LakeTable:
                 if updates.isEmpty():
                     inserts.write.mode("append").parquet(self.current()[1])
                     return "append"
-            self._write_snapshot(merge_prepared(target, incoming, keys, n_keys, broadcast_keys))
+            self.write_snapshot(merge_prepared(target, incoming, keys, n_keys, broadcast_keys))
             return "rewrite"
         finally:
             incoming.unpersist()
