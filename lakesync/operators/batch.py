@@ -208,17 +208,26 @@ def first_rows_sorted(df: DataFrame, order_col: str, n: int, keys: Sequence[str]
 
 def bounded_batch(source: DataFrame, column: str, max_rows: int = 100_000, keys: Sequence[str] = ("id",),
                   checkpoint=None, with_ties: bool = False,
-                  exact_rows: int = DEFAULT_EXACT_ROWS) -> DataFrame:
+                  exact_rows: int = DEFAULT_EXACT_ROWS, strategy: str = "filter") -> DataFrame:
     """TOP-2 with FLT-2: rows with ``column >= checkpoint`` (all rows when the
     checkpoint is ``None``), the first ``max_rows`` of them in checkpoint order.
 
     ``checkpoint`` may be a :class:`~lakesync.operators.checkpoint.Checkpoint`
     or a plain value. Only ``None`` means "no checkpoint" (E2: 0 and "" are
     real checkpoints).
+
+    ``strategy="filter"`` (default) finds the n-th key with aggregates and
+    filters; use ``"sorted"`` for a source that runs ``ORDER BY ... LIMIT``
+    itself (a table of a V2 JDBC catalog shows ``PushedTopN``), where the
+    database returns only the batch.
     """
     rows = source
     if checkpoint is not None:
         bound = checkpoint.lit() if hasattr(checkpoint, "lit") else checkpoint
         rows = source.filter(since(source, column, bound))
-    return first_rows(rows, column, max_rows, keys=[k for k in keys if k in source.columns],
-                      with_ties=with_ties, exact_rows=exact_rows)
+    keys = [k for k in keys if k in source.columns]
+    if strategy == "sorted" and not with_ties:
+        return first_rows_sorted(rows, column, max_rows, keys)
+    if strategy not in ("filter", "sorted"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return first_rows(rows, column, max_rows, keys=keys, with_ties=with_ties, exact_rows=exact_rows)

@@ -34,7 +34,8 @@ class RunReport:
 
 def incremental_load(source: DataFrame, target, column: str, keys: Sequence[str] = ("id",),
                      order_col: str | None = None, max_rows: int = 100_000,
-                     with_ties: bool = False, exact_rows: int = DEFAULT_EXACT_ROWS) -> RunReport:
+                     with_ties: bool = False, exact_rows: int = DEFAULT_EXACT_ROWS,
+                     batch_strategy: str = "filter") -> RunReport:
     """JOB-1: checkpoint from the target (TOP-1), the next bounded batch of
     the source from that checkpoint inclusive (FLT-2, TOP-2), then upsert
     into the target (DML-1) or, when the target does not exist yet, create
@@ -46,11 +47,13 @@ def incremental_load(source: DataFrame, target, column: str, keys: Sequence[str]
     on the checkpoint's truthiness (E2); an empty target loads from the start
     (E3). The batch (at most ``max_rows`` rows) is materialised under the
     shared checkpoint folder once, so the source is not re-read by the merge.
+    ``batch_strategy="sorted"`` lets a JDBC catalog source run the
+    ``ORDER BY ... LIMIT`` itself (see :func:`bounded_batch`).
     """
     exists = target.exists()
     cp = target.latest_value(column, order_col) if exists else None
     batch = staged(bounded_batch(source, column, max_rows, keys=keys, checkpoint=cp,
-                                 with_ties=with_ties, exact_rows=exact_rows))
+                                 with_ties=with_ties, exact_rows=exact_rows, strategy=batch_strategy))
     if exists:
         how = target.merge(batch, list(keys))
         return RunReport("merge", cp, details={"write": how})

@@ -65,3 +65,22 @@ def test_truncate_load_checks_then_materialises_then_truncates(spark, monkeypatc
     t.truncate_load(spark.createDataFrame([(1, "a")], "id long, v string"))
     assert order == ["staged", ("jdbc", "mart.events", "overwrite")]
     assert options == {"truncate": "true"}
+
+
+def test_catalog_registration_sets_pushdown_options(spark):
+    from lakesync.sources.jdbc import JDBC_CATALOG, register_catalog
+
+    register_catalog(spark, "mart_cat", "jdbc:x://h/db", {"driver": "x.Driver"})
+    assert spark.conf.get("spark.sql.catalog.mart_cat") == JDBC_CATALOG
+    assert spark.conf.get("spark.sql.catalog.mart_cat.pushDownLimit") == "true"
+    assert spark.conf.get("spark.sql.catalog.mart_cat.pushDownAggregate") == "true"
+    assert spark.conf.get("spark.sql.catalog.mart_cat.driver") == "x.Driver"
+
+
+def test_sorted_batch_strategy_is_a_plain_top_n(spark):
+    from lakesync.operators.batch import bounded_batch
+
+    df = spark.createDataFrame([(i, i % 4) for i in range(20)], "id long, v long")
+    got = bounded_batch(df, "v", 5, keys=["id"], strategy="sorted")
+    assert "TakeOrderedAndProject" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["id"] for r in got.collect()) == [0, 4, 8, 12, 16]
