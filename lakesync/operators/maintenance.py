@@ -37,20 +37,25 @@ def _epoch_seconds(as_of: _dt.datetime | None) -> float:
 
 
 def compaction_plan(table: LakeTable, target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES) -> dict:
+    """Sizes of the current snapshot and whether compaction is worth it: at
+    least two files under half the target size, and more files than
+    ``ceil(bytes / target)``. Files near the target size never trigger it."""
     cur = table.current()
     if cur is None:
         raise LookupError(table.path)
-    size, count = files.size_and_files(table.spark, cur[1])
+    size, count, small = files.size_and_files(table.spark, cur[1], small_below=target_file_bytes // 2)
     want = max(1, math.ceil(size / target_file_bytes))
-    return {"snapshot": cur[0], "bytes": size, "files": count, "target_files": want,
-            "needed": count > want}
+    return {"snapshot": cur[0], "bytes": size, "files": count, "small_files": small,
+            "target_files": want, "needed": small >= 2 and count > want}
 
 
 def compact(table: LakeTable, target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES, force: bool = False) -> dict:
     """MNT-1: rewrite small files into about ``target_file_bytes`` each.
 
-    A new snapshot with the same rows (same multiset); a no-op when the table
-    already has no more files than the target count.
+    A new snapshot with the same rows (same multiset); a no-op when
+    :func:`compaction_plan` finds nothing worth merging. Snapshots are
+    immutable directories, so a compaction rewrites the whole current
+    snapshot (Delta's OPTIMIZE rewrites only the small files).
     """
     plan = compaction_plan(table, target_file_bytes)
     if plan["needed"] or force:

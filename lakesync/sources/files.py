@@ -30,19 +30,22 @@ def child_dirs(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
     return out
 
 
-def size_and_files(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Total bytes and number of data files (names starting ``_``/``.`` excluded)."""
+def size_and_files(spark: SparkSession, path: str, small_below: int = 0) -> tuple[int, int, int]:
+    """Total bytes, number of data files and number of data files smaller
+    than ``small_below`` bytes (names starting ``_``/``.`` excluded)."""
     fs, p = _fs(spark, path)
-    total, count = 0, 0
+    total, count, small = 0, 0, 0
     it = fs.listFiles(p, True)
     while it.hasNext():
         st = it.next()
         name = st.getPath().getName()
         if name.startswith("_") or name.startswith("."):
             continue
-        total += int(st.getLen())
+        size = int(st.getLen())
+        total += size
         count += 1
-    return total, count
+        small += size < small_below
+    return total, count, small
 
 
 def delete(spark: SparkSession, path: str) -> bool:

@@ -117,3 +117,14 @@ def test_mixed_schema_marker_only_after_schema_change(spark, scratch):
     t.append(spark.createDataFrame([(3,)], "id long"))
     assert os.path.exists(f"{t.current()[1].replace('file:', '')}/_MIXED_SCHEMA")
     assert sorted(tuple(r) for r in t.read().select("id", "v").collect()) == [(1, "a"), (2, "b"), (3, None)]
+
+
+def test_compaction_skips_files_near_target_size(spark, scratch):
+    t = LakeTable(spark, scratch("big-files"))
+    orders = spark.read.parquet(f"{SF_CHECK}/orders.parquet")
+    t.replace(orders.repartition(4))
+    size = maintenance.compaction_plan(t)["bytes"]
+    plan = maintenance.compaction_plan(t, target_file_bytes=size // 4 + 1)
+    assert plan["small_files"] == 0 and not plan["needed"]
+    assert maintenance.compact(t, target_file_bytes=size // 4 + 1)["snapshot"] == t.current()[0]
+    assert len(t.snapshots()) == 1
