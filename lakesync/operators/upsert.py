@@ -183,7 +183,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
     return merge_prepared(target, incoming, _keys(keys), n_keys, broadcast_keys)
 
 
-def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], n_keys: int,
+                 broadcast_keys: int = DEFAULT_BROADCAST_KEYS) -> tuple[DataFrame, DataFrame]:
     """``(inserts, updates)`` of a merge with a small, prepared source.
 
     ``inserts``: source rows whose key is not in the target (NULL keys
@@ -192,7 +193,12 @@ def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[st
     scan of the target; only matched target rows, at most as many as the
     source has, reach the comparison. When ``updates`` is empty the merge is
     an append of ``inserts``: re-read boundary rows (E1) cost nothing.
+    ``n_keys`` is the counted number of source keys (see
+    :func:`prepare_source`); above ``broadcast_keys`` this raises instead of
+    broadcasting an unbounded set.
     """
+    if n_keys > broadcast_keys:
+        raise ValueError(f"{n_keys} source keys exceed the broadcast bound {broadcast_keys}")
     keys = _keys(keys)
     src_keys = incoming.select(*keys).filter(_non_null(keys)).distinct()
     matched = target.join(F.broadcast(src_keys), on=keys, how="left_semi")

@@ -184,7 +184,7 @@ class LakeTable:
         incoming, n_keys = prepare_source(target, source, keys, on_duplicate, order_col, persist=True)
         try:
             if broadcast_keys and n_keys <= broadcast_keys:
-                inserts, updates = changed_rows(target, incoming, keys)
+                inserts, updates = changed_rows(target, incoming, keys, n_keys, broadcast_keys)
                 if updates.isEmpty():
                     inserts.write.mode("append").parquet(self.current()[1])
                     return "append"

@@ -91,3 +91,14 @@ def test_property_upsert_matches_merge_definition(spark, target_rows, source_row
     for bk in (None, 1000):
         got = upsert(target, source, "id", broadcast_keys=bk)
         assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_change_detection_refuses_unbounded_broadcast(spark):
+    from lakesync.operators.upsert import changed_rows
+
+    target = spark.createDataFrame([(1, "a")], "id long, v string")
+    source = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    with pytest.raises(ValueError):
+        changed_rows(target, source, "id", n_keys=2, broadcast_keys=1)
+    inserts, updates = changed_rows(target, source, "id", n_keys=2, broadcast_keys=10)
+    assert [tuple(r) for r in inserts.collect()] == [(2, "b")] and updates.isEmpty()
