@@ -9,6 +9,7 @@ from lakesync.functions.windows import (
     run_date_suffix,
     since,
     typed_lit,
+    value_text,
 )
 
 __all__ = [
@@ -20,4 +21,5 @@ __all__ = [
     "run_date_suffix",
     "since",
     "typed_lit",
+    "value_text",
 ]

@@ -14,7 +14,7 @@ from typing import Union
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, TimestampType
 
 Bound = Union[Column, str, _dt.date, _dt.datetime, int, float, None]
 
@@ -28,6 +28,18 @@ def literal_text(value) -> str:
     return str(value)
 
 
+# Text form of a session-time-zone timestamp that names its UTC offset, so
+# that casting it back gives the same instant even in a repeated DST hour.
+LTZ_TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def value_text(c: Column, dtype: DataType) -> Column:
+    """Text that :func:`typed_lit` turns back into exactly the same value."""
+    if isinstance(dtype, TimestampType):
+        return F.date_format(c, LTZ_TEXT_FORMAT)
+    return c.cast("string")
+
+
 def typed_lit(value: Bound, dtype: DataType | str) -> Column:
     """A literal of exactly ``dtype`` (no implicit cast of the column side)."""
     if isinstance(value, Column):

@@ -38,7 +38,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from lakesync.functions.windows import since, typed_lit
+from lakesync.functions.windows import LTZ_TEXT_FORMAT, since, typed_lit, value_text
 
 # Largest number of sort-key values one task may order exactly.
 DEFAULT_EXACT_ROWS = 2_000_000
@@ -61,10 +61,11 @@ def _count_if(cond: Column) -> Column:
 
 def _exact_kth(sub: DataFrame, name: str, k: int) -> str:
     """k-th smallest non-null value (1-based) by ordering one column."""
+    dtype = sub.schema[name].dataType
     row = (sub.select(F.col(name).alias("v"))
            .orderBy(F.col("v").asc())
            .offset(k - 1).limit(1)
-           .select(F.col("v").cast("string").alias("t"))
+           .select(value_text(F.col("v"), dtype).alias("t"))
            .first())
     return row["t"]
 
@@ -76,11 +77,14 @@ def _bracket(sub: DataFrame, name: str, dtype: DataType, k: int, size: int):
         p = k / size
         d = 2.0 / SKETCH_ACCURACY
         qs = [max(p - d, 0.0), min(p + d, 1.0)]
-        texts = sub.agg(F.percentile_approx(c, qs, SKETCH_ACCURACY).cast("array<string>").alias("q")).first()["q"]
+        q = F.percentile_approx(c, qs, SKETCH_ACCURACY)
+        if isinstance(dtype, TimestampType):
+            q = F.transform(q, lambda x: F.date_format(x, LTZ_TEXT_FORMAT))
+        texts = sub.agg(q.cast("array<string>").alias("q")).first()["q"]
         return texts[0], texts[1]
     fraction = min(1.0, SAMPLE_ROWS / size)
     sample = [r["t"] for r in sub.select(c.alias("v")).sample(False, fraction, seed=17)
-              .orderBy("v").select(F.col("v").cast("string").alias("t")).collect()]
+              .orderBy("v").select(value_text(F.col("v"), dtype).alias("t")).collect()]
     if not sample:
         return None
     pos = k * fraction
@@ -121,10 +125,11 @@ def _exact_tuple(region: DataFrame, cols: Sequence[str], k: int) -> list[str | N
     ``exact_rows`` rows, so the final merge is bounded.
     """
     named = [F.col(c).alias(f"k{i}") for i, c in enumerate(cols)]
+    types = [region.schema[c].dataType for c in cols]
     row = (region.select(*named)
            .orderBy(*[F.col(f"k{i}").asc_nulls_last() for i in range(len(cols))])
            .offset(k - 1).limit(1)
-           .select(*[F.col(f"k{i}").cast("string").alias(f"t{i}") for i in range(len(cols))])
+           .select(*[value_text(F.col(f"k{i}"), types[i]).alias(f"t{i}") for i in range(len(cols))])
            .first())
     return [row[f"t{i}"] for i in range(len(cols))]
 

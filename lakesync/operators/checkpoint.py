@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from lakesync.functions.windows import typed_lit
+from lakesync.functions.windows import typed_lit, value_text
 
 
 @dataclass(frozen=True)
@@ -54,10 +54,11 @@ def latest_value_frame(df: DataFrame, value_col: str, order_col: str | None = No
 
 def _collect(frame: DataFrame, source: DataFrame, column: str) -> Checkpoint | None:
     alias = frame.columns[0]
-    rows = frame.select(F.col(alias).alias("v"), F.col(alias).cast("string").alias("t")).collect()
+    dtype = source.schema[column].dataType
+    rows = frame.select(F.col(alias).alias("v"), value_text(F.col(alias), dtype).alias("t")).collect()
     if not rows or rows[0]["v"] is None:
         return None
-    return Checkpoint(column, source.schema[column].dataType, rows[0]["t"], rows[0]["v"])
+    return Checkpoint(column, dtype, rows[0]["t"], rows[0]["v"])
 
 
 def high_water_mark(df: DataFrame, column: str) -> Checkpoint | None:

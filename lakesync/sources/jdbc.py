@@ -30,6 +30,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakesync.functions.windows import value_text
 from lakesync.operators import checkpoint as _cp
 from lakesync.sources.lake import staged
 
@@ -127,10 +128,11 @@ class JdbcTable:
             return _cp.high_water_mark(self.read(), column)
         c = _ident(column)
         frame = self.derived(f"SELECT MAX({c}) AS checkpoint FROM {self.name}")
-        row = frame.select(F.col("checkpoint").alias("v"), F.col("checkpoint").cast("string").alias("t")).first()
+        dtype = frame.schema["checkpoint"].dataType
+        row = frame.select(F.col("checkpoint").alias("v"), value_text(F.col("checkpoint"), dtype).alias("t")).first()
         if row is None or row["v"] is None:
             return None
-        return _cp.Checkpoint(column, frame.schema["checkpoint"].dataType, row["t"], row["v"])
+        return _cp.Checkpoint(column, dtype, row["t"], row["v"])
 
     def replace(self, df: DataFrame) -> None:
         """SNK-3: drop and recreate from the DataFrame's schema (staging)."""
