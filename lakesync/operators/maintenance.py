@@ -25,6 +25,8 @@ from lakesync.sources import files
 from lakesync.sources.lake import LakeTable
 
 DEFAULT_TARGET_FILE_BYTES = 128 * 1024 * 1024
+# Shortest retention accepted while the retention check is on (Delta's default: 7 days).
+MIN_RETENTION_HOURS = 168
 
 
 def _epoch_seconds(as_of: _dt.datetime | None) -> float:
@@ -76,15 +78,22 @@ def file_listing(table: LakeTable) -> DataFrame:
     )
 
 
-def vacuum_plan(table: LakeTable, retention_hours: float, as_of: _dt.datetime | None = None) -> DataFrame:
+def vacuum_plan(table: LakeTable, retention_hours: float, as_of: _dt.datetime | None = None,
+                retention_check: bool = True) -> DataFrame:
     """MNT-2 plan: files not in the current snapshot and last modified more
     than ``retention_hours`` before ``as_of`` (default now) are removable.
 
-    Any ``retention_hours >= 0`` is accepted (the reference disables Delta's
-    retention check); the current snapshot is never removable.
+    With ``retention_check`` (default) retention below
+    ``MIN_RETENTION_HOURS`` is refused, as Delta does; the reference's
+    maintenance job switches that check off, and then any
+    ``retention_hours >= 0`` is accepted. The current snapshot is never
+    removable.
     """
     if retention_hours < 0:
         raise ValueError("retention_hours must be >= 0")
+    if retention_check and retention_hours < MIN_RETENTION_HOURS:
+        raise ValueError(f"retention_hours {retention_hours} < {MIN_RETENTION_HOURS}; "
+                         f"pass retention_check=False to allow it")
     cur = table.current()
     current = cur[0] if cur else -1
     threshold = F.timestamp_seconds(F.lit(_epoch_seconds(as_of) - float(retention_hours) * 3600.0))
@@ -94,10 +103,10 @@ def vacuum_plan(table: LakeTable, retention_hours: float, as_of: _dt.datetime |
 
 
 def vacuum(table: LakeTable, retention_hours: float, as_of: _dt.datetime | None = None,
-           dry_run: bool = False) -> list[str]:
+           dry_run: bool = False, retention_check: bool = True) -> list[str]:
     """MNT-2 apply: delete superseded snapshot directories whose files are
     all past retention. Returns the directories deleted (or to delete)."""
-    plan = vacuum_plan(table, retention_hours, as_of)
+    plan = vacuum_plan(table, retention_hours, as_of, retention_check)
     per_snapshot = (plan.groupBy("snapshot")
                     .agg(F.bool_and("removable").alias("all_removable"))
                     .filter("all_removable").select("snapshot").collect())

@@ -130,8 +130,12 @@ def relation_to_staging(lead: DataFrame, tag: DataFrame, rel: DataFrame, staging
 
 
 def maintain(table: LakeTable, retention_hours: float, as_of: _dt.datetime | None = None,
-             target_file_bytes: int = maintenance.DEFAULT_TARGET_FILE_BYTES) -> RunReport:
-    """JOB-10: compact (MNT-1), then vacuum superseded snapshots (MNT-2)."""
+             target_file_bytes: int = maintenance.DEFAULT_TARGET_FILE_BYTES,
+             retention_check: bool = False) -> RunReport:
+    """JOB-10: compact (MNT-1), then vacuum superseded snapshots (MNT-2).
+
+    As in the reference, the retention check is off, so any
+    ``retention_hours >= 0`` is honoured."""
     plan = maintenance.compact(table, target_file_bytes)
-    removed = maintenance.vacuum(table, retention_hours, as_of)
+    removed = maintenance.vacuum(table, retention_hours, as_of, retention_check=retention_check)
     return RunReport("maintain", details={"compaction": plan, "removed": removed})

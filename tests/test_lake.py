@@ -78,17 +78,19 @@ def test_compaction_and_vacuum(spark, scratch):
     df = t.read()
     assert df.exceptAll(orders).count() == 0 and orders.exceptAll(df).count() == 0
     # retention not yet passed: nothing removable
-    assert maintenance.vacuum(t, retention_hours=1) == []
+    with pytest.raises(ValueError):  # retention check on by default
+        maintenance.vacuum(t, retention_hours=1)
+    assert maintenance.vacuum(t, retention_hours=1, retention_check=False) == []
     later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=2)
-    plan = maintenance.vacuum_plan(t, retention_hours=1, as_of=later)
+    plan = maintenance.vacuum_plan(t, retention_hours=1, as_of=later, retention_check=False)
     current = t.current()[0]
     assert plan.filter("removable").filter(F.col("snapshot") == current).count() == 0
     assert plan.filter("removable").count() == 64
-    removed = maintenance.vacuum(t, retention_hours=1, as_of=later)
+    removed = maintenance.vacuum(t, retention_hours=1, as_of=later, retention_check=False)
     assert len(removed) == 1 and not os.path.exists(removed[0].replace("file:", ""))
     assert t.read().count() == orders.count()
     with pytest.raises(ValueError):
-        maintenance.vacuum_plan(t, retention_hours=-1)
+        maintenance.vacuum_plan(t, retention_hours=-1, retention_check=False)
 
 
 def test_merge_appends_when_no_existing_row_changes(spark, scratch):
