@@ -229,4 +229,5 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: str | Sequence[st
     if broadcast_keys and src_keys.count() <= broadcast_keys:
         present = target.select(*keys).join(F.broadcast(src_keys.distinct()), on=keys, how="left_semi")
         return incoming.join(present.distinct(), on=keys, how="left_anti")
-    return incoming.join(target.select(*keys), on=keys, how="left_anti")
+    # NULL target keys never match; leaving them out keeps them off one reducer.
+    return incoming.join(target.select(*keys).filter(_non_null(keys)), on=keys, how="left_anti")
