@@ -79,3 +79,27 @@ def test_backfill_window_edges(spark, scratch):
     staging = LakeTable(spark, scratch("backfill"))
     jobs.backfill(src, staging, start="2024-01-10 00:00:00", as_of="2024-01-20 00:00:00")
     assert sorted(r["id"] for r in staging.read().collect()) == [1, 3]
+
+
+def test_daily_job_starts_each_day_from_the_oldest_rows(spark, scratch):
+    # E8: a new day's table does not exist yet, so its first run loads the
+    # oldest rows of the whole source, under the date-suffixed path.
+    from lakesync.sources.lake import table_path
+
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    root = scratch("lake")
+    for day in ("2024-01-15", "2024-01-16"):
+        report = jobs.daily_incremental_load(spark, events, root, "bronze", "app", "events", "ts",
+                                             run_date=day, keys=["event_id"], max_rows=10)
+        assert report.mode == "append" and report.checkpoint is None
+        t = LakeTable(spark, table_path(root, "bronze", "app", "events", day))
+        assert t.path.endswith(f"/bronze/app_daily/events_{day}")
+        assert sorted(r["event_id"] for r in t.read().collect()) == list(range(10))
+
+
+def test_full_refresh_keeps_old_columns_as_null(spark, scratch):
+    t = LakeTable(spark, scratch("refresh"))
+    jobs.full_refresh(spark.createDataFrame([(1, "a", 1.0)], "id long, v string, old double"), t)
+    jobs.full_refresh(spark.createDataFrame([(2, "b")], "id long, v string"), t)
+    assert t.read().columns == ["id", "v", "old"]
+    assert [tuple(r) for r in t.read().collect()] == [(2, "b", None)]
