@@ -175,11 +175,11 @@ def sort_key_at_most(df: DataFrame, cols: Sequence[str], key: Sequence[str | Non
     for name, text in reversed(list(zip(cols, key))):
         c = F.col(name)
         if text is None:
-            lt, eq = c.isNotNull(), c.isNull()
+            lt, eq, le = c.isNotNull(), c.isNull(), F.lit(True)
         else:
             v = typed_lit(text, df.schema[name].dataType)
-            lt, eq = c < v, c == v
-        pred = (lt | eq) if pred is None else (lt | (eq & pred))
+            lt, eq, le = c < v, c == v, c <= v
+        pred = le if pred is None else (lt | (eq & pred))
     return pred if pred is not None else F.lit(True)
 
 
