@@ -183,6 +183,30 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
     return merge_prepared(target, incoming, _keys(keys), n_keys, broadcast_keys)
 
 
+def key_range(source: DataFrame, keys: Sequence[str], schema) -> Column | None:
+    """``lo <= key <= hi`` per key column, from the source's non-NULL keys,
+    as typed literals of the target's key types (``schema``).
+
+    Pushed to Parquet it lets a scan of a large target skip every row group
+    whose key statistics lie outside the source's range; returns ``None``
+    when the source has no non-NULL key (nothing can match).
+    """
+    from lakesync.functions.windows import typed_lit, value_text
+
+    keys = _keys(keys)
+    types = {f.name: f.dataType for f in schema.fields}
+    aggs = []
+    for i, k in enumerate(keys):
+        aggs += [value_text(F.min(k), types[k]).alias(f"lo{i}"), value_text(F.max(k), types[k]).alias(f"hi{i}")]
+    row = source.filter(_non_null(keys)).agg(*aggs).first()
+    if row is None or row["lo0"] is None:
+        return None
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & (F.col(k) >= typed_lit(row[f"lo{i}"], types[k])) & (F.col(k) <= typed_lit(row[f"hi{i}"], types[k]))
+    return cond
+
+
 def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], n_keys: int,
                  broadcast_keys: int = DEFAULT_BROADCAST_KEYS) -> tuple[DataFrame, DataFrame]:
     """``(inserts, updates)`` of a merge with a small, prepared source.
@@ -190,8 +214,9 @@ def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[st
     ``inserts``: source rows whose key is not in the target (NULL keys
     included). ``updates``: source rows matching a target row whose content
     differs (NULL-safe comparison). The source keys are broadcast into one
-    scan of the target; only matched target rows, at most as many as the
-    source has, reach the comparison. When ``updates`` is empty the merge is
+    scan of the target, which first skips row groups outside the source's
+    key range (:func:`key_range`); only matched target rows, at most as many
+    as the source has, reach the comparison. When ``updates`` is empty the merge is
     an append of ``inserts``: re-read boundary rows (E1) cost nothing.
     ``n_keys`` is the counted number of source keys (see
     :func:`prepare_source`); above ``broadcast_keys`` this raises instead of
@@ -200,8 +225,11 @@ def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[st
     if n_keys > broadcast_keys:
         raise ValueError(f"{n_keys} source keys exceed the broadcast bound {broadcast_keys}")
     keys = _keys(keys)
+    in_range = key_range(incoming, keys, target.schema)
+    if in_range is None:  # only NULL keys: nothing matches
+        return incoming, incoming.filter(F.lit(False)).select(*keys)
     src_keys = incoming.select(*keys).filter(_non_null(keys)).distinct()
-    matched = target.join(F.broadcast(src_keys), on=keys, how="left_semi")
+    matched = target.filter(in_range).join(F.broadcast(src_keys), on=keys, how="left_semi")
     inserts = incoming.join(matched.select(*keys).distinct(), on=keys, how="left_anti")
     others = [c for c in target.columns if c not in keys]
     same = F.lit(True)
@@ -227,7 +255,11 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: str | Sequence[st
     incoming = align_to(source, target.schema)
     src_keys = incoming.select(*keys).filter(_non_null(keys))
     if broadcast_keys and src_keys.count() <= broadcast_keys:
-        present = target.select(*keys).join(F.broadcast(src_keys.distinct()), on=keys, how="left_semi")
+        in_range = key_range(incoming, keys, target.schema)
+        if in_range is None:
+            return incoming
+        present = (target.select(*keys).filter(in_range)
+                   .join(F.broadcast(src_keys.distinct()), on=keys, how="left_semi"))
         return incoming.join(present.distinct(), on=keys, how="left_anti")
     # NULL target keys never match; leaving them out keeps them off one reducer.
     return incoming.join(target.select(*keys).filter(_non_null(keys)), on=keys, how="left_anti")

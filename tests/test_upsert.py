@@ -102,3 +102,17 @@ def test_change_detection_refuses_unbounded_broadcast(spark):
         changed_rows(target, source, "id", n_keys=2, broadcast_keys=1)
     inserts, updates = changed_rows(target, source, "id", n_keys=2, broadcast_keys=10)
     assert [tuple(r) for r in inserts.collect()] == [(2, "b")] and updates.isEmpty()
+
+
+def test_change_detection_prunes_target_by_source_key_range(spark):
+    from lakesync.operators.upsert import changed_rows
+
+    orders = spark.read.parquet(f"{SF_CHECK}/orders.parquet")
+    source = orders.filter("o_orderkey between 100 and 200")
+    inserts, updates = changed_rows(orders, source, "o_orderkey", n_keys=101)
+    plan = updates._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderkey,100)" in plan and "LessThanOrEqual(o_orderkey,200)" in plan
+    assert inserts.isEmpty() and updates.isEmpty()
+    only_null = spark.createDataFrame([(None, "x")], "id long, v string")
+    ins, upd = changed_rows(spark.createDataFrame([(1, "a")], "id long, v string"), only_null, "id", n_keys=0)
+    assert ins.count() == 1 and upd.isEmpty()
