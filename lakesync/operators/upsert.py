@@ -24,6 +24,7 @@ otherwise both sides shuffle on the key and AQE may split skewed keys.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from lakesync.functions.windows import typed_lit, value_text
+
 # Most source keys broadcast to the anti-join (checked by counting).
 DEFAULT_BROADCAST_KEYS = 2_000_000
 
@@ -94,24 +97,52 @@ def _non_null(keys: list[str]) -> Column:
     return cond
 
 
-def key_stats(source: DataFrame, keys: str | Sequence[str]) -> tuple[int, int]:
-    """``(rows with a non-NULL key, largest number of rows sharing one key)``.
+@dataclass(frozen=True)
+class KeySummary:
+    """Non-NULL-key rows of a source, the largest number sharing one key
+    (``None`` when not counted per key) and each key column's (min, max) as
+    exact text (``None`` when there is no non-NULL key)."""
 
-    One job: a per-key count (partial, map-side) and a global max/sum of it.
-    """
+    rows: int
+    most: int | None
+    bounds: list[tuple[str, str]] | None
+
+
+def summarize_keys(source: DataFrame, keys: str | Sequence[str], per_key: bool = True) -> KeySummary:
+    """One job: row count, per-key multiplicity (with ``per_key``) and key
+    range. Per-key counts are a partial (map-side) aggregate."""
     keys = _keys(keys)
-    row = (source.filter(_non_null(keys)).groupBy(*keys).count()
-           .agg(F.sum("count").alias("rows"), F.max("count").alias("most")).first())
-    return int(row["rows"] or 0), int(row["most"] or 0)
+    types = {f.name: f.dataType for f in source.schema.fields}
+    base = source.filter(_non_null(keys))
+    if per_key:
+        base = base.groupBy(*keys).count()
+        aggs = [F.sum("count").alias("rows"), F.max("count").alias("most")]
+    else:
+        aggs = [F.count(F.lit(1)).alias("rows"), F.lit(None).cast("long").alias("most")]
+    for i, k in enumerate(keys):
+        aggs += [value_text(F.min(k), types[k]).alias(f"lo{i}"), value_text(F.max(k), types[k]).alias(f"hi{i}")]
+    row = base.agg(*aggs).first()
+    rows = int(row["rows"] or 0)
+    bounds = [(row[f"lo{i}"], row[f"hi{i}"]) for i in range(len(keys))] if rows else None
+    return KeySummary(rows, None if row["most"] is None else int(row["most"]), bounds)
+
+
+def key_stats(source: DataFrame, keys: str | Sequence[str]) -> tuple[int, int]:
+    """``(rows with a non-NULL key, largest number of rows sharing one key)``."""
+    summary = summarize_keys(source, keys)
+    return summary.rows, summary.most or 0
 
 
 def assert_unique_keys(source: DataFrame, keys: str | Sequence[str]) -> int:
     """Raise :class:`DuplicateKeyError` if two rows share a non-NULL key;
     returns the number of rows with a non-NULL key."""
-    rows, most = key_stats(source, keys)
-    if most > 1:
-        raise DuplicateKeyError(f"{most} source rows share one value of {list(_keys(keys))}")
-    return rows
+    return _check_unique(summarize_keys(source, keys), keys).rows
+
+
+def _check_unique(summary: KeySummary, keys) -> KeySummary:
+    if summary.most and summary.most > 1:
+        raise DuplicateKeyError(f"{summary.most} source rows share one value of {list(_keys(keys))}")
+    return summary
 
 
 def latest_per_key(source: DataFrame, keys: str | Sequence[str], order_col: str) -> DataFrame:
@@ -132,22 +163,23 @@ def latest_per_key(source: DataFrame, keys: str | Sequence[str], order_col: str)
 
 def prepare_source(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
                    on_duplicate: str = "error", order_col: str | None = None,
-                   persist: bool = False) -> tuple[DataFrame, int]:
+                   persist: bool = False) -> tuple[DataFrame, KeySummary]:
     """Validate and de-duplicate ``source`` for a merge into ``target``.
 
-    Returns the source projected onto the target's columns and types, and the
-    number of its rows with a non-NULL key (a checked size for broadcasts).
-    With ``persist`` the returned frame is cached before it is first counted
-    (the caller unpersists it).
+    Returns the source projected onto the target's columns and types, and a
+    :class:`KeySummary` of its keys (a checked size for broadcasts and the
+    key range for pruning), from one aggregate job. With ``persist`` the
+    returned frame is cached before it is first read (the caller unpersists
+    it).
     """
     keys = _keys(keys)
     for k in keys:
         if k not in target.columns or k not in source.columns:
             raise ValueError(f"merge key {k!r} missing from target or source")
     if on_duplicate == "error":
-        n_keys = assert_unique_keys(source, keys)
         incoming = align_to(source, target.schema)
-        return (incoming.persist() if persist else incoming), n_keys
+        summary = _check_unique(summarize_keys(incoming, keys), keys)
+        return (incoming.persist() if persist else incoming), summary
     if on_duplicate == "latest":
         if not order_col:
             raise ValueError("on_duplicate='latest' needs order_col")
@@ -157,7 +189,7 @@ def prepare_source(target: DataFrame, source: DataFrame, keys: str | Sequence[st
     incoming = align_to(source, target.schema)
     if persist:
         incoming = incoming.persist()
-    return incoming, incoming.filter(_non_null(keys)).count()
+    return incoming, summarize_keys(incoming, keys, per_key=False)
 
 
 def merge_prepared(target: DataFrame, incoming: DataFrame, keys: Sequence[str], n_keys: int,
@@ -179,36 +211,30 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
            on_duplicate: str = "error", order_col: str | None = None,
            broadcast_keys: int | None = DEFAULT_BROADCAST_KEYS) -> DataFrame:
     """New contents of ``target`` after merging ``source`` on ``keys``."""
-    incoming, n_keys = prepare_source(target, source, keys, on_duplicate, order_col)
-    return merge_prepared(target, incoming, _keys(keys), n_keys, broadcast_keys)
+    incoming, summary = prepare_source(target, source, keys, on_duplicate, order_col)
+    return merge_prepared(target, incoming, _keys(keys), summary.rows, broadcast_keys)
 
 
-def key_range(source: DataFrame, keys: Sequence[str], schema) -> Column | None:
-    """``lo <= key <= hi`` per key column, from the source's non-NULL keys,
-    as typed literals of the target's key types (``schema``).
-
-    Pushed to Parquet it lets a scan of a large target skip every row group
-    whose key statistics lie outside the source's range; returns ``None``
-    when the source has no non-NULL key (nothing can match).
-    """
-    from lakesync.functions.windows import typed_lit, value_text
-
-    keys = _keys(keys)
+def range_filter(keys: Sequence[str], bounds: list[tuple[str, str]], schema) -> Column:
+    """``lo <= key <= hi`` for each key column, as typed literals of
+    ``schema``'s key types (Parquet pushes it down to skip row groups)."""
     types = {f.name: f.dataType for f in schema.fields}
-    aggs = []
-    for i, k in enumerate(keys):
-        aggs += [value_text(F.min(k), types[k]).alias(f"lo{i}"), value_text(F.max(k), types[k]).alias(f"hi{i}")]
-    row = source.filter(_non_null(keys)).agg(*aggs).first()
-    if row is None or row["lo0"] is None:
-        return None
     cond = F.lit(True)
-    for i, k in enumerate(keys):
-        cond = cond & (F.col(k) >= typed_lit(row[f"lo{i}"], types[k])) & (F.col(k) <= typed_lit(row[f"hi{i}"], types[k]))
+    for k, (lo, hi) in zip(_keys(keys), bounds):
+        cond = cond & (F.col(k) >= typed_lit(lo, types[k])) & (F.col(k) <= typed_lit(hi, types[k]))
     return cond
 
 
+def key_range(source: DataFrame, keys: Sequence[str], schema) -> Column | None:
+    """:func:`range_filter` over the source's non-NULL keys, or ``None`` when
+    it has none (nothing can match)."""
+    bounds = summarize_keys(source, keys, per_key=False).bounds
+    return None if bounds is None else range_filter(keys, bounds, schema)
+
+
 def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], n_keys: int,
-                 broadcast_keys: int = DEFAULT_BROADCAST_KEYS) -> tuple[DataFrame, DataFrame]:
+                 broadcast_keys: int = DEFAULT_BROADCAST_KEYS,
+                 summary: KeySummary | None = None) -> tuple[DataFrame, DataFrame]:
     """``(inserts, updates)`` of a merge with a small, prepared source.
 
     ``inserts``: source rows whose key is not in the target (NULL keys
@@ -225,7 +251,10 @@ def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[st
     if n_keys > broadcast_keys:
         raise ValueError(f"{n_keys} source keys exceed the broadcast bound {broadcast_keys}")
     keys = _keys(keys)
-    in_range = key_range(incoming, keys, target.schema)
+    if summary is not None:
+        in_range = None if summary.bounds is None else range_filter(keys, summary.bounds, target.schema)
+    else:
+        in_range = key_range(incoming, keys, target.schema)
     if in_range is None:  # only NULL keys: nothing matches
         return incoming, incoming.filter(F.lit(False)).select(*keys)
     src_keys = incoming.select(*keys).filter(_non_null(keys)).distinct()

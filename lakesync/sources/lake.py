@@ -181,10 +181,11 @@ class LakeTable:
         target = self.read()
         # The prepared source is read up to four times (count, change check,
         # write); it is cached for this call only and recomputed if lost.
-        incoming, n_keys = prepare_source(target, source, keys, on_duplicate, order_col, persist=True)
+        incoming, summary = prepare_source(target, source, keys, on_duplicate, order_col, persist=True)
+        n_keys = summary.rows
         try:
             if broadcast_keys and n_keys <= broadcast_keys:
-                inserts, updates = changed_rows(target, incoming, keys, n_keys, broadcast_keys)
+                inserts, updates = changed_rows(target, incoming, keys, n_keys, broadcast_keys, summary)
                 if updates.isEmpty():
                     inserts.write.mode("append").parquet(self.current()[1])
                     return "append"
