@@ -178,8 +178,14 @@ def prepare_source(target: DataFrame, source: DataFrame, keys: str | Sequence[st
             raise ValueError(f"merge key {k!r} missing from target or source")
     if on_duplicate == "error":
         incoming = align_to(source, target.schema)
-        summary = _check_unique(summarize_keys(incoming, keys), keys)
-        return (incoming.persist() if persist else incoming), summary
+        if persist:  # the summary job fills the cache
+            incoming = incoming.persist()
+        try:
+            return incoming, _check_unique(summarize_keys(incoming, keys), keys)
+        except DuplicateKeyError:
+            if persist:
+                incoming.unpersist()
+            raise
     if on_duplicate == "latest":
         if not order_col:
             raise ValueError("on_duplicate='latest' needs order_col")
@@ -232,21 +238,23 @@ def key_range(source: DataFrame, keys: Sequence[str], schema) -> Column | None:
     return None if bounds is None else range_filter(keys, bounds, schema)
 
 
-def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], n_keys: int,
-                 broadcast_keys: int = DEFAULT_BROADCAST_KEYS,
-                 summary: KeySummary | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(inserts, updates)`` of a merge with a small, prepared source.
+MATCHED = "__matched"
+CHANGED = "__changed"
 
-    ``inserts``: source rows whose key is not in the target (NULL keys
-    included). ``updates``: source rows matching a target row whose content
-    differs (NULL-safe comparison). The source keys are broadcast into one
-    scan of the target, which first skips row groups outside the source's
-    key range (:func:`key_range`); only matched target rows, at most as many
-    as the source has, reach the comparison. When ``updates`` is empty the merge is
-    an append of ``inserts``: re-read boundary rows (E1) cost nothing.
-    ``n_keys`` is the counted number of source keys (see
-    :func:`prepare_source`); above ``broadcast_keys`` this raises instead of
-    broadcasting an unbounded set.
+
+def classify_source(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], n_keys: int,
+                    broadcast_keys: int = DEFAULT_BROADCAST_KEYS,
+                    summary: KeySummary | None = None) -> DataFrame:
+    """Source rows of a merge with a small, prepared source, flagged
+    ``__matched`` (a target row has the key) and ``__changed`` (matched, and
+    some column differs, NULL-safe).
+
+    The source keys are broadcast into one scan of the target, which first
+    skips row groups outside the source's key range (:func:`key_range`);
+    only the matched target rows, about as many as the source has, meet the
+    source rows in the comparison join. ``n_keys`` is the counted number of
+    source keys (see :func:`prepare_source`); above ``broadcast_keys`` this
+    raises instead of broadcasting an unbounded set. NULL keys never match.
     """
     if n_keys > broadcast_keys:
         raise ValueError(f"{n_keys} source keys exceed the broadcast bound {broadcast_keys}")
@@ -256,16 +264,37 @@ def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[st
     else:
         in_range = key_range(incoming, keys, target.schema)
     if in_range is None:  # only NULL keys: nothing matches
-        return incoming, incoming.filter(F.lit(False)).select(*keys)
-    src_keys = incoming.select(*keys).filter(_non_null(keys)).distinct()
-    matched = target.filter(in_range).join(F.broadcast(src_keys), on=keys, how="left_semi")
-    inserts = incoming.join(matched.select(*keys).distinct(), on=keys, how="left_anti")
+        return incoming.select("*", F.lit(False).alias(MATCHED), F.lit(False).alias(CHANGED))
+    # A semi-join's build side may repeat keys, so no distinct (and no
+    # shuffle) is needed; its size is the counted ``n_keys``.
+    src_keys = incoming.select(*keys).filter(_non_null(keys))
+    matched = (target.filter(in_range).join(F.broadcast(src_keys), on=keys, how="left_semi")
+               .withColumn(MATCHED, F.lit(True)))
     others = [c for c in target.columns if c not in keys]
     same = F.lit(True)
     for c in others:
         same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
-    updates = (incoming.alias("s").join(matched.alias("t"), on=keys, how="inner")
-               .filter(~same).select(*keys))
+    hit = F.col(f"t.{MATCHED}").isNotNull()
+    return (incoming.alias("s").join(matched.alias("t"), on=keys, how="left")
+            .select(*keys, *[F.col(f"s.{c}") for c in others],
+                    hit.alias(MATCHED), (hit & ~same).alias(CHANGED))
+            .select(*incoming.columns, MATCHED, CHANGED))
+
+
+def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], n_keys: int,
+                 broadcast_keys: int = DEFAULT_BROADCAST_KEYS,
+                 summary: KeySummary | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(inserts, updates)`` of :func:`classify_source`.
+
+    ``inserts``: source rows whose key is not in the target (NULL keys
+    included). ``updates``: keys of source rows matching a target row whose
+    content differs. When ``updates`` is empty the merge is an append of
+    ``inserts``: re-read boundary rows (E1) cost nothing.
+    """
+    keys = _keys(keys)
+    flagged = classify_source(target, incoming, keys, n_keys, broadcast_keys, summary)
+    inserts = flagged.filter(~F.col(MATCHED)).select(*incoming.columns)
+    updates = flagged.filter(F.col(CHANGED)).select(*keys)
     return inserts, updates
 
 
@@ -283,12 +312,14 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: str | Sequence[st
     keys = _keys(keys)
     incoming = align_to(source, target.schema)
     src_keys = incoming.select(*keys).filter(_non_null(keys))
-    if broadcast_keys and src_keys.count() <= broadcast_keys:
-        in_range = key_range(incoming, keys, target.schema)
-        if in_range is None:
+    summary = summarize_keys(incoming, keys, per_key=False) if broadcast_keys else None
+    if summary is not None and summary.rows <= broadcast_keys:
+        # one job gave the size checked for the broadcast and the key range
+        if summary.bounds is None:
             return incoming
+        in_range = range_filter(keys, summary.bounds, target.schema)
         present = (target.select(*keys).filter(in_range)
-                   .join(F.broadcast(src_keys.distinct()), on=keys, how="left_semi"))
+                   .join(F.broadcast(src_keys), on=keys, how="left_semi"))
         return incoming.join(present.distinct(), on=keys, how="left_anti")
     # NULL target keys never match; leaving them out keeps them off one reducer.
     return incoming.join(target.select(*keys).filter(_non_null(keys)), on=keys, how="left_anti")

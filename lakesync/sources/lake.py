@@ -22,14 +22,17 @@ import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from lakesync.functions.windows import run_date_suffix
 from lakesync.operators import checkpoint as _cp
 from lakesync.operators.upsert import (
+    CHANGED,
     DEFAULT_BROADCAST_KEYS,
+    MATCHED,
     align_to,
-    changed_rows,
+    classify_source,
     insert_missing,
     merge_prepared,
     prepare_source,
@@ -179,21 +182,40 @@ class LakeTable:
         """
         keys = [keys] if isinstance(keys, str) else list(keys)
         target = self.read()
-        # The prepared source is read up to four times (count, change check,
-        # write); it is cached for this call only and recomputed if lost.
+        # The prepared source is read up to three times (key summary, change
+        # check, rewrite); it is cached for this call only and recomputed if
+        # lost.
         incoming, summary = prepare_source(target, source, keys, on_duplicate, order_col, persist=True)
         n_keys = summary.rows
         try:
-            if broadcast_keys and n_keys <= broadcast_keys:
-                inserts, updates = changed_rows(target, incoming, keys, n_keys, broadcast_keys, summary)
-                if updates.isEmpty():
-                    inserts.write.mode("append").parquet(self.current()[1])
-                    return "append"
+            if broadcast_keys and n_keys <= broadcast_keys and self._append_if_unchanged(
+                    target, incoming, keys, n_keys, broadcast_keys, summary):
+                return "append"
             self.write_snapshot(merge_prepared(target, incoming, keys, n_keys, broadcast_keys))
             return "rewrite"
         finally:
             incoming.unpersist()
 
+    def _append_if_unchanged(self, target, incoming, keys, n_keys, broadcast_keys, summary) -> bool:
+        """Append the new rows if no matched row changes; ``False`` otherwise.
+
+        The target is scanned once (range-pruned, semi-joined with the
+        broadcast source keys); the flagged source rows are cached so that
+        the decision (one aggregate) and the append read them once.
+        """
+        flagged = classify_source(target, incoming, keys, n_keys, broadcast_keys, summary).persist()
+        try:
+            stats = flagged.agg(F.count_if(F.col(CHANGED)).alias("changed"),
+                                F.count_if(~F.col(MATCHED)).alias("new")).first()
+            if stats["changed"]:
+                return False
+            if stats["new"]:
+                (flagged.filter(~F.col(MATCHED)).select(*incoming.columns)
+                 .write.mode("append").parquet(self.current()[1]))
+            return True
+        finally:
+            flagged.unpersist()
+
     def insert_missing(self, source: DataFrame, keys: str | Sequence[str]) -> None:
         """DML-2 for key-only tables: append the pairs not yet present."""
         cur = self.current()
