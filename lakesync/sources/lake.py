@@ -221,7 +221,12 @@ class LakeTable:
         cur = self.current()
         if cur is None:
             raise TableNotFound(self.path)
-        insert_missing(self.read(), source, keys).write.mode("append").parquet(cur[1])
+        # Read twice (key summary, append): cached for this call only.
+        source = source.persist()
+        try:
+            insert_missing(self.read(), source, keys).write.mode("append").parquet(cur[1])
+        finally:
+            source.unpersist()
 
 
 def staged(df: DataFrame, required: bool = True) -> DataFrame:

@@ -116,3 +116,29 @@ def test_change_detection_prunes_target_by_source_key_range(spark):
     only_null = spark.createDataFrame([(None, "x")], "id long, v string")
     ins, upd = changed_rows(spark.createDataFrame([(1, "a")], "id long, v string"), only_null, "id", n_keys=0)
     assert ins.count() == 1 and upd.isEmpty()
+
+
+def test_classify_source_flags_matched_and_changed_rows(spark):
+    from lakesync.operators.upsert import CHANGED, MATCHED, classify_source
+
+    # target repeats key 2; NULL values compare equal; a NULL source key never matches
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, None), (None, "n")], "id long, v string")
+    source = spark.createDataFrame([(1, "a"), (2, "B"), (3, None), (4, "d"), (None, "n")], "id long, v string")
+    flagged = classify_source(target, source, "id", n_keys=4)
+    assert flagged.columns == ["id", "v", MATCHED, CHANGED]
+    assert _rows(flagged) == sorted([(1, "a", True, False), (2, "B", True, True), (2, "B", True, True),
+                                     (3, None, True, False), (4, "d", False, False),
+                                     (None, "n", False, False)], key=repr)
+
+
+def test_merge_change_check_scans_target_once(spark):
+    from lakesync.operators.upsert import classify_source
+
+    orders = spark.read.parquet(f"{SF_CHECK}/orders.parquet")
+    # an in-memory source (in a merge it is cached), so every file scan is of the target
+    picked = orders.filter("o_orderkey between 100 and 200")
+    source = spark.createDataFrame(picked.collect(), picked.schema)
+    plan = classify_source(orders, source, "o_orderkey", n_keys=101)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert "GreaterThanOrEqual(o_orderkey,100)" in plan and "LessThanOrEqual(o_orderkey,200)" in plan
+    assert "BroadcastExchange" in plan
