@@ -22,20 +22,16 @@ from lakesync.sources.lake import LakeTable
 
 def _apply(target: LakeTable, keys: Sequence[str], order_col: str | None):
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        # The merge reads the micro-batch several times (key check, change
-        # detection, write): keep it for the duration of this call. A lost
-        # executor only means recomputing it from the batch's files.
-        batch.persist()
-        try:
-            if target.exists():
-                if order_col:
-                    target.merge(batch, list(keys), on_duplicate="latest", order_col=order_col)
-                else:
-                    target.merge(batch, list(keys))
+        # The micro-batch is read once: the merge caches its prepared
+        # (de-duplicated, aligned) form for the key check, change detection
+        # and write. A lost executor only means re-reading the batch's files.
+        if target.exists():
+            if order_col:
+                target.merge(batch, list(keys), on_duplicate="latest", order_col=order_col)
             else:
-                target.append(batch)
-        finally:
-            batch.unpersist()
+                target.merge(batch, list(keys))
+        else:
+            target.append(batch)
     return apply
 
 
