@@ -149,8 +149,9 @@ def latest_per_key(source: DataFrame, keys: str | Sequence[str], order_col: str)
     """One row per non-NULL key: the one with the greatest ``order_col``
     (ties: greatest whole row). Rows with a NULL key are all kept.
 
-    ``max_by`` over a struct is a hash aggregate with map-side partial
-    aggregation, so a hot key is reduced inside each task before the shuffle.
+    ``max_by`` over a struct has a map-side partial step, so a hot key is
+    reduced inside each task before the shuffle (it plans as a sort
+    aggregate: a struct buffer does not fit Spark's hash map).
     """
     keys = _keys(keys)
     cols = source.columns
