@@ -26,10 +26,12 @@ sys.path.insert(0, ROOT)
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from lakesync.operators import maintenance  # noqa: E402
 from lakesync.operators.batch import first_rows, first_rows_sorted  # noqa: E402
 from lakesync.operators.upsert import upsert  # noqa: E402
-from lakesync.registry import ORACLE_SQL, QUERIES, _relation  # noqa: E402
-from lakesync.session import ensure_checkpoint_dir, local_session  # noqa: E402
+from lakesync.registry import ORACLE_SQL, QUERIES, SMALL_FILES, _relation  # noqa: E402
+from lakesync.session import ensure_checkpoint_dir, local_session, scratch_path  # noqa: E402
+from lakesync.sources.lake import LakeTable  # noqa: E402
 
 
 def _sf_of(path: str):
@@ -69,6 +71,15 @@ def alternatives(spark, sf_dir: str, repeat: int) -> dict:
     for name, fn in cases.items():
         fn()
         out[name] = _time(fn, repeat)
+    # MNT-1: scanning a table kept as many small files, before and after compaction.
+    table = LakeTable(spark, scratch_path(spark, "bench-compact"))
+    table.replace(orders.repartition(SMALL_FILES))
+    scan = lambda: _run(table.read())
+    scan()
+    out["scan_small_files"] = _time(scan, repeat)
+    maintenance.compact(table)
+    scan()
+    out["scan_after_compaction"] = _time(scan, repeat)
     return out
 
 
@@ -78,7 +89,8 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
-                          app_name="lakesync-bench", extra={"spark.driver.memory": "16g"})
+                          app_name="lakesync-bench", extra={"spark.driver.memory": "16g",
+                                                            "spark.ui.showConsoleProgress": "false"})
     ensure_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="lakesync-bench-ckpt-"))
     names = only or list(QUERIES)
     times = {}
