@@ -208,8 +208,10 @@ def merge_prepared(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
         kept = target.join(F.broadcast(source_keys), on=keys, how="left_anti")
         return kept.unionByName(incoming)
     # Shuffle join: NULL-key target rows can never match, so they bypass the
-    # exchange instead of all hashing to one reducer.
-    kept = (target.filter(_non_null(keys)).join(source_keys, on=keys, how="left_anti")
+    # exchange instead of all hashing to one reducer. AQE can split a hot key
+    # on the target (left) side only, so the source keys are de-duplicated
+    # first (partial aggregate; the join reuses its partitioning).
+    kept = (target.filter(_non_null(keys)).join(source_keys.distinct(), on=keys, how="left_anti")
             .unionByName(target.filter(~_non_null(keys))))
     return kept.unionByName(incoming)
 
@@ -243,60 +245,67 @@ MATCHED = "__matched"
 CHANGED = "__changed"
 
 
-def classify_source(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], n_keys: int,
-                    broadcast_keys: int = DEFAULT_BROADCAST_KEYS,
-                    summary: KeySummary | None = None) -> DataFrame:
-    """Source rows of a merge with a small, prepared source, flagged
-    ``__matched`` (a target row has the key) and ``__changed`` (matched, and
-    some column differs, NULL-safe).
+def match_keys(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], n_keys: int,
+               broadcast_keys: int = DEFAULT_BROADCAST_KEYS,
+               summary: KeySummary | None = None) -> DataFrame:
+    """One row per non-NULL key of a small, prepared source: the key columns,
+    ``__matched`` (some target row has the key) and ``__changed`` (matched,
+    and the rows with the key are not all equal, NULL-safe, so a merge would
+    update something).
 
     The source keys are broadcast into one scan of the target, which first
-    skips row groups outside the source's key range (:func:`key_range`);
-    only the matched target rows, about as many as the source has, meet the
-    source rows in the comparison join. ``n_keys`` is the counted number of
-    source keys (see :func:`prepare_source`); above ``broadcast_keys`` this
-    raises instead of broadcasting an unbounded set. NULL keys never match.
+    skips row groups outside the source's key range (:func:`key_range`).
+    Source rows and matched target rows then meet in one aggregate per key
+    (min and max of the non-key columns as a struct; equal means unchanged)
+    with a map-side partial step, so a key that the target repeats many
+    times is reduced inside each task and yields one row, never one row per
+    copy. ``n_keys`` is the counted number of source keys (see
+    :func:`prepare_source`); above ``broadcast_keys`` this raises instead of
+    broadcasting an unbounded set. NULL keys never match and are left out.
     """
     if n_keys > broadcast_keys:
         raise ValueError(f"{n_keys} source keys exceed the broadcast bound {broadcast_keys}")
     keys = _keys(keys)
+    others = [c for c in target.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in others]) if others else F.lit(0)
+    src = incoming.filter(_non_null(keys)).select(*keys, row.alias("__v"), F.lit(1).alias("__side"))
     if summary is not None:
         in_range = None if summary.bounds is None else range_filter(keys, summary.bounds, target.schema)
     else:
         in_range = key_range(incoming, keys, target.schema)
     if in_range is None:  # only NULL keys: nothing matches
-        return incoming.select("*", F.lit(False).alias(MATCHED), F.lit(False).alias(CHANGED))
-    # A semi-join's build side may repeat keys, so no distinct (and no
-    # shuffle) is needed; its size is the counted ``n_keys``.
-    src_keys = incoming.select(*keys).filter(_non_null(keys))
-    matched = (target.filter(in_range).join(F.broadcast(src_keys), on=keys, how="left_semi")
-               .withColumn(MATCHED, F.lit(True)))
-    others = [c for c in target.columns if c not in keys]
-    same = F.lit(True)
-    for c in others:
-        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
-    hit = F.col(f"t.{MATCHED}").isNotNull()
-    return (incoming.alias("s").join(matched.alias("t"), on=keys, how="left")
-            .select(*keys, *[F.col(f"s.{c}") for c in others],
-                    hit.alias(MATCHED), (hit & ~same).alias(CHANGED))
-            .select(*incoming.columns, MATCHED, CHANGED))
+        both = src
+    else:
+        # A semi-join's build side may repeat keys, so no distinct (and no
+        # shuffle) is needed; its size is the counted ``n_keys``.
+        src_keys = incoming.select(*keys).filter(_non_null(keys))
+        matched = target.filter(in_range).join(F.broadcast(src_keys), on=keys, how="left_semi")
+        both = src.unionByName(matched.select(*keys, row.alias("__v"), F.lit(0).alias("__side")))
+    per_key = both.groupBy(*keys).agg(F.min("__side").alias("__lo_side"), F.max("__side").alias("__hi_side"),
+                                      F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    hit = (F.col("__lo_side") == 0) & (F.col("__hi_side") == 1)
+    return per_key.select(*keys, hit.alias(MATCHED), (hit & ~F.col("__lo").eqNullSafe(F.col("__hi"))).alias(CHANGED))
 
 
 def changed_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], n_keys: int,
                  broadcast_keys: int = DEFAULT_BROADCAST_KEYS,
                  summary: KeySummary | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(inserts, updates)`` of :func:`classify_source`.
+    """``(inserts, updates)`` of a merge, from :func:`match_keys`.
 
     ``inserts``: source rows whose key is not in the target (NULL keys
-    included). ``updates``: keys of source rows matching a target row whose
-    content differs. When ``updates`` is empty the merge is an append of
+    included). ``updates``: source keys matching a target row whose content
+    differs. When ``updates`` is empty the merge is an append of
     ``inserts``: re-read boundary rows (E1) cost nothing.
     """
     keys = _keys(keys)
-    flagged = classify_source(target, incoming, keys, n_keys, broadcast_keys, summary)
-    inserts = flagged.filter(~F.col(MATCHED)).select(*incoming.columns)
-    updates = flagged.filter(F.col(CHANGED)).select(*keys)
-    return inserts, updates
+    per_key = match_keys(target, incoming, keys, n_keys, broadcast_keys, summary)
+    return new_rows(incoming, per_key, keys), per_key.filter(F.col(CHANGED)).select(*keys)
+
+
+def new_rows(incoming: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows whose key :func:`match_keys` found in no target row
+    (the anti-join's right side holds each key once)."""
+    return incoming.join(per_key.filter(F.col(MATCHED)).select(*keys), on=list(keys), how="left_anti")
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
@@ -322,5 +331,8 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: str | Sequence[st
         present = (target.select(*keys).filter(in_range)
                    .join(F.broadcast(src_keys), on=keys, how="left_semi"))
         return incoming.join(present.distinct(), on=keys, how="left_anti")
-    # NULL target keys never match; leaving them out keeps them off one reducer.
-    return incoming.join(target.select(*keys).filter(_non_null(keys)), on=keys, how="left_anti")
+    # NULL target keys never match; leaving them out keeps them off one
+    # reducer. The target keys are de-duplicated before the exchange (partial
+    # aggregate), so a key the target repeats reaches the join once: AQE
+    # cannot split the right side of an anti-join.
+    return incoming.join(target.select(*keys).filter(_non_null(keys)).distinct(), on=keys, how="left_anti")

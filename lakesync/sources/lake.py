@@ -30,11 +30,11 @@ from lakesync.operators import checkpoint as _cp
 from lakesync.operators.upsert import (
     CHANGED,
     DEFAULT_BROADCAST_KEYS,
-    MATCHED,
     align_to,
-    classify_source,
     insert_missing,
+    match_keys,
     merge_prepared,
+    new_rows,
     prepare_source,
 )
 from lakesync.sources import files
@@ -200,21 +200,18 @@ class LakeTable:
         """Append the new rows if no matched row changes; ``False`` otherwise.
 
         The target is scanned once (range-pruned, semi-joined with the
-        broadcast source keys); the flagged source rows are cached so that
-        the decision (one aggregate) and the append read them once.
+        broadcast source keys) into one flagged row per source key
+        (:func:`match_keys`), which is cached: the decision (one aggregate)
+        and the anti-join that picks the new rows read it, not the target.
         """
-        flagged = classify_source(target, incoming, keys, n_keys, broadcast_keys, summary).persist()
+        per_key = match_keys(target, incoming, keys, n_keys, broadcast_keys, summary).persist()
         try:
-            stats = flagged.agg(F.count_if(F.col(CHANGED)).alias("changed"),
-                                F.count_if(~F.col(MATCHED)).alias("new")).first()
-            if stats["changed"]:
+            if per_key.agg(F.count_if(F.col(CHANGED)).alias("changed")).first()["changed"]:
                 return False
-            if stats["new"]:
-                (flagged.filter(~F.col(MATCHED)).select(*incoming.columns)
-                 .write.mode("append").parquet(self.current()[1]))
+            new_rows(incoming, per_key, keys).write.mode("append").parquet(self.current()[1])
             return True
         finally:
-            flagged.unpersist()
+            per_key.unpersist()
 
     def insert_missing(self, source: DataFrame, keys: str | Sequence[str]) -> None:
         """DML-2 for key-only tables: append the pairs not yet present."""

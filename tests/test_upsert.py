@@ -118,27 +118,41 @@ def test_change_detection_prunes_target_by_source_key_range(spark):
     assert ins.count() == 1 and upd.isEmpty()
 
 
-def test_classify_source_flags_matched_and_changed_rows(spark):
-    from lakesync.operators.upsert import CHANGED, MATCHED, classify_source
+def test_match_keys_flags_each_source_key_once(spark):
+    from lakesync.operators.upsert import CHANGED, MATCHED, match_keys
 
     # target repeats key 2; NULL values compare equal; a NULL source key never matches
     target = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, None), (None, "n")], "id long, v string")
     source = spark.createDataFrame([(1, "a"), (2, "B"), (3, None), (4, "d"), (None, "n")], "id long, v string")
-    flagged = classify_source(target, source, "id", n_keys=4)
-    assert flagged.columns == ["id", "v", MATCHED, CHANGED]
-    assert _rows(flagged) == sorted([(1, "a", True, False), (2, "B", True, True), (2, "B", True, True),
-                                     (3, None, True, False), (4, "d", False, False),
-                                     (None, "n", False, False)], key=repr)
+    per_key = match_keys(target, source, "id", n_keys=4)
+    assert per_key.columns == ["id", MATCHED, CHANGED]
+    assert _rows(per_key) == [(1, True, False), (2, True, True), (3, True, False), (4, False, False)]
+
+
+def test_match_keys_hot_target_key_yields_one_row(spark):
+    from lakesync.operators.upsert import changed_rows, match_keys
+
+    # one key holds most of the target (duplicate copies, one of them different)
+    hot = [(7, "same")] * 3000 + [(7, "other")] + [(k, "x") for k in range(1000, 1100)]
+    target = spark.createDataFrame(hot, "id long, v string").repartition(8)
+    source = spark.createDataFrame([(7, "same"), (500, "new")], "id long, v string")
+    per_key = match_keys(target, source, "id", n_keys=2)
+    assert _rows(per_key) == sorted([(7, True, True), (500, False, False)], key=repr)
+    inserts, updates = changed_rows(target, source, "id", n_keys=2)
+    assert _rows(inserts) == [(500, "new")] and _rows(updates) == [(7,)]
+    unchanged = target.filter("v <> 'other'")
+    inserts, updates = changed_rows(unchanged, source, "id", n_keys=2)
+    assert _rows(inserts) == [(500, "new")] and updates.isEmpty()
 
 
 def test_merge_change_check_scans_target_once(spark):
-    from lakesync.operators.upsert import classify_source
+    from lakesync.operators.upsert import match_keys
 
     orders = spark.read.parquet(f"{SF_CHECK}/orders.parquet")
     # an in-memory source (in a merge it is cached), so every file scan is of the target
     picked = orders.filter("o_orderkey between 100 and 200")
     source = spark.createDataFrame(picked.collect(), picked.schema)
-    plan = classify_source(orders, source, "o_orderkey", n_keys=101)._jdf.queryExecution().executedPlan().toString()
+    plan = match_keys(orders, source, "o_orderkey", n_keys=101)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert "GreaterThanOrEqual(o_orderkey,100)" in plan and "LessThanOrEqual(o_orderkey,200)" in plan
-    assert "BroadcastExchange" in plan
+    assert "BroadcastExchange" in plan and "partial_min" in plan

@@ -15,7 +15,7 @@ sys.path.insert(0, ROOT)
 from pyspark.sql import functions as F  # noqa: E402
 
 from lakesync import registry as r  # noqa: E402
-from lakesync.operators.upsert import classify_source, insert_missing, prepare_source  # noqa: E402
+from lakesync.operators.upsert import insert_missing, match_keys, prepare_source  # noqa: E402
 from lakesync.session import local_session  # noqa: E402
 
 NOTES = {
@@ -33,8 +33,9 @@ NOTES = {
     "upsert_keep_latest": "DML-1 with duplicate source keys: max_by over a struct is a sort aggregate "
                           "(struct buffer) with a partial (map-side) step, so a hot key is reduced before the shuffle.",
     "merge_change_check": "LakeTable.merge decision: the source's key range (one aggregate) is pushed to "
-                          "the target scan, the counted source keys are broadcast into a LeftSemi, and "
-                          "only the matched target rows meet the source rows; one scan of the target.",
+                          "the target scan, the counted source keys are broadcast into a LeftSemi; source "
+                          "rows and matched target rows meet in one aggregate per key (partial step "
+                          "first), so a key the target repeats yields one row. One scan of the target.",
 }
 
 
@@ -65,7 +66,7 @@ def main() -> None:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     recent = orders.filter(F.col("o_orderdate") >= F.lit(r.ORDERS_SOURCE_FROM).cast("timestamp_ntz"))
     incoming, summary = prepare_source(orders, recent, "o_orderkey")
-    frames["merge_change_check"] = classify_source(orders, incoming, "o_orderkey", summary.rows, summary=summary)
+    frames["merge_change_check"] = match_keys(orders, incoming, "o_orderkey", summary.rows, summary=summary)
     out = ["# Physical plans of the headline operators", "",
            f"Generated by `tools/plans.py` on `{sf_dir}` (local[*], AQE on; the final AQE",
            "plan may coalesce partitions further). Expression ids and paths are elided.", ""]
