@@ -17,6 +17,9 @@ Scale notes:
   ``PushedAggregates`` and ``bounded_batch(strategy="sorted")`` becomes
   ``PushedTopN``, which is how the reference's ``LIMIT 100000`` runs inside
   the database.
+* Writes open one connection per partition of the written DataFrame; at
+  most ``write_connections`` (Spark's ``numPartitions`` write option, which
+  coalesces without a shuffle) so a wide job cannot flood the database.
 * ``truncate_load`` checks the columns against the table, then materialises
   the source under ``spark.checkpoint.dir`` before it empties the table, so
   a failing source cannot leave the mart empty (E10); one qualified name is
@@ -35,6 +38,8 @@ from lakesync.operators import checkpoint as _cp
 from lakesync.sources.lake import staged
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_$]*$")
+# Most concurrent connections one write opens to the database.
+DEFAULT_WRITE_CONNECTIONS = 16
 
 
 def _ident(name: str) -> str:
@@ -73,8 +78,11 @@ class JdbcTable:
 
     def __init__(self, spark: SparkSession, url: str, table: str, properties: dict | None = None,
                  schema: str | None = None, fetchsize: int = 10_000, batchsize: int = 10_000,
-                 catalog: str | None = None):
+                 catalog: str | None = None, write_connections: int = DEFAULT_WRITE_CONNECTIONS):
+        if write_connections < 1:
+            raise ValueError("write_connections must be >= 1")
         self.spark = spark
+        self.write_connections = write_connections
         self.url = url
         self.name = _ident(f"{schema}.{table}" if schema else table)
         self.catalog = _ident(catalog) if catalog else None
@@ -134,12 +142,15 @@ class JdbcTable:
             return None
         return _cp.Checkpoint(column, dtype, row["t"], row["v"])
 
+    def _writer(self, df: DataFrame):
+        return df.write.option("numPartitions", str(self.write_connections))
+
     def replace(self, df: DataFrame) -> None:
         """SNK-3: drop and recreate from the DataFrame's schema (staging)."""
-        df.write.jdbc(self.url, self.name, mode="overwrite", properties=self.properties)
+        self._writer(df).jdbc(self.url, self.name, mode="overwrite", properties=self.properties)
 
     def append(self, df: DataFrame) -> None:
-        df.write.jdbc(self.url, self.name, mode="append", properties=self.properties)
+        self._writer(df).jdbc(self.url, self.name, mode="append", properties=self.properties)
 
     def truncate_load(self, df: DataFrame) -> None:
         """SNK-4/SNK-5: keep the table's DDL, replace all rows."""
@@ -148,5 +159,5 @@ class JdbcTable:
         if extra:
             raise ValueError(f"{self.name} has no columns {extra}")
         ready = staged(df)
-        ready.write.option("truncate", "true").jdbc(self.url, self.name, mode="overwrite",
-                                                    properties=self.properties)
+        self._writer(ready).option("truncate", "true").jdbc(self.url, self.name, mode="overwrite",
+                                                            properties=self.properties)

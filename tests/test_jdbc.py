@@ -64,7 +64,22 @@ def test_truncate_load_checks_then_materialises_then_truncates(spark, monkeypatc
     assert order == []  # nothing happened before the column check failed
     t.truncate_load(spark.createDataFrame([(1, "a")], "id long, v string"))
     assert order == ["staged", ("jdbc", "mart.events", "overwrite")]
-    assert options == {"truncate": "true"}
+    assert options == {"numPartitions": "16", "truncate": "true"}
+
+
+def test_writes_bound_their_connections(spark, monkeypatch):
+    writes = []
+    monkeypatch.setattr(DataFrameWriter, "option", lambda self, k, v: writes.append((k, v)) or self)
+    monkeypatch.setattr(DataFrameWriter, "jdbc",
+                        lambda self, url, table, mode=None, properties=None: writes.append((table, mode)))
+    t = JdbcTable(spark, "jdbc:x://h/db", "events", schema="temp", write_connections=4)
+    df = spark.createDataFrame([(1, "a")], "id long, v string")
+    t.replace(df)
+    t.append(df)
+    assert writes == [("numPartitions", "4"), ("temp.events", "overwrite"),
+                      ("numPartitions", "4"), ("temp.events", "append")]
+    with pytest.raises(ValueError):
+        JdbcTable(spark, "jdbc:x://h/db", "events", write_connections=0)
 
 
 def test_catalog_registration_sets_pushdown_options(spark):
