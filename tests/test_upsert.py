@@ -156,3 +156,18 @@ def test_merge_change_check_scans_target_once(spark):
     assert plan.count("FileScan parquet") == 1
     assert "GreaterThanOrEqual(o_orderkey,100)" in plan and "LessThanOrEqual(o_orderkey,200)" in plan
     assert "BroadcastExchange" in plan and "partial_min" in plan
+
+
+def test_prepared_source_cache_is_filled_by_the_key_summary(spark):
+    from lakesync.operators.upsert import prepare_source
+
+    target = spark.createDataFrame([(1, "a")], "id long, v string")
+    source = spark.range(0, 5000).selectExpr("id", "cast(id as string) as v").repartition(4)
+    for mode, order in (("error", None), ("latest", "v")):
+        incoming, summary = prepare_source(target, source, "id", mode, order, persist=True)
+        try:
+            assert summary.rows == 5000
+            infos = [i for i in spark.sparkContext._jsc.sc().getRDDStorageInfo() if i.numCachedPartitions() > 0]
+            assert infos, f"{mode}: the summary job did not fill the cache"
+        finally:
+            incoming.unpersist(blocking=True)
