@@ -155,7 +155,10 @@ def latest_per_key(source: DataFrame, keys: str | Sequence[str], order_col: str)
     """
     keys = _keys(keys)
     cols = source.columns
-    ranked = F.struct(F.col(order_col), *[F.col(c) for c in cols])
+    types = {f.name: f.dataType for f in source.schema.fields}
+    # the tie-break orders whole rows; maps have no order, so they rank by JSON text
+    ranked = F.struct(F.col(order_col), *[F.to_json(F.col(c)).alias(c) if "map<" in types[c].simpleString()
+                                          else F.col(c) for c in cols])
     latest = (source.filter(_non_null(keys)).groupBy(*keys)
               .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ranked).alias("__row"))
               .select("__row.*"))
@@ -266,8 +269,12 @@ def match_keys(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str]
     if n_keys > broadcast_keys:
         raise ValueError(f"{n_keys} source keys exceed the broadcast bound {broadcast_keys}")
     keys = _keys(keys)
-    others = [c for c in target.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in others]) if others else F.lit(0)
+    types = {f.name: f.dataType for f in target.schema.fields}
+    # Maps have no order or equality in Spark; they are compared as JSON text
+    # (a different key order can only cause an unneeded rewrite).
+    others = [F.to_json(F.col(c)).alias(c) if "map<" in types[c].simpleString() else F.col(c)
+              for c in target.columns if c not in keys]
+    row = F.struct(*others) if others else F.lit(0)
     src = incoming.filter(_non_null(keys)).select(*keys, row.alias("__v"), F.lit(1).alias("__side"))
     if summary is not None:
         in_range = None if summary.bounds is None else range_filter(keys, summary.bounds, target.schema)

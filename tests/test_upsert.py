@@ -171,3 +171,20 @@ def test_prepared_source_cache_is_filled_by_the_key_summary(spark):
             assert infos, f"{mode}: the summary job did not fill the cache"
         finally:
             incoming.unpersist(blocking=True)
+
+
+def test_match_keys_compares_map_columns(spark):
+    from lakesync.operators.upsert import match_keys
+
+    schema = "id long, attrs map<string,int>"
+    target = spark.createDataFrame([(1, {"a": 1}), (2, {"b": 2}), (3, None)], schema)
+    source = spark.createDataFrame([(1, {"a": 1}), (2, {"b": 3}), (3, None)], schema)
+    assert _rows(match_keys(target, source, "id", n_keys=3)) == [(1, True, False), (2, True, True), (3, True, False)]
+
+
+def test_keep_latest_with_a_map_column(spark):
+    schema = "id long, seq int, attrs map<string,int>"
+    target = spark.createDataFrame([(1, 0, {"a": 0})], schema)
+    source = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"a": 2}), (2, 1, None)], schema)
+    got = upsert(target, source, "id", on_duplicate="latest", order_col="seq")
+    assert sorted((r["id"], r["seq"], r["attrs"]) for r in got.collect()) == [(1, 2, {"a": 2}), (2, 1, None)]
