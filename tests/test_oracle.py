@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry_mod
+from lakesync import registry
 from tests.conftest import SF_CHECK
 from tests.oracle import duck, rows_of_spark, rows_of_sql
 
-QUERIES = entry_mod.queries()
-SQL = entry_mod.oracle_sql()
+# The optional training-data queries have their own tests.
+QUERIES = registry.QUERIES
+SQL = registry.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
