@@ -35,9 +35,12 @@ def _seeds(hashes: str, lengths: list[int]):
     at = lambda i, o: F.get(F.col(hashes), i + o)
     n = F.size(hashes)
     kinds = [(SPAN, mask) for mask in MASKS] + [(w, tuple(range(w))) for w in lengths]
-    made = [F.transform(F.when(n >= w, F.sequence(F.lit(0), n - w)).otherwise(F.array().cast("array<int>")),
-                        lambda i, k=k, mask=mask: F.struct(i.alias("pos"), F.xxhash64(F.lit(k), *[at(i, o) for o in mask]).alias("h")))
-            for k, (w, mask) in enumerate(kinds)]
+
+    def windows(k, w, mask):
+        starts = F.when(n >= w, F.sequence(F.lit(0), n - w)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(k), *[at(i, o) for o in mask]).alias("h")))
+
+    made = [windows(k, w, mask) for k, (w, mask) in enumerate(kinds)]
     return F.concat(*made)
 
 

@@ -9,7 +9,9 @@ its gender. E-mail domains become example domains unless they are such already.
 
 All mentions of one normal form share the surrogate (coreference). Surrogates
 that two entities share, or that equal a real entity, are drawn again with the
-next nonce until none is left (distinctness). Null texts stay null; texts
+next nonce until none is left (distinctness). Short formats can run out of values:
+names get a letter more after every ``LONGER_AFTER`` draws, and after
+``AVOID_REAL`` draws a surrogate may equal a real entity, not another's. Null texts stay null; texts
 without entities stay as they are.
 """
 
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import stored
 
 DEFAULT_KEY = "surrogates-1"
+LONGER_AFTER = 8
+AVOID_REAL = 16
 
 # Entity patterns, titles by gender, given names by gender and script.
 EMAIL = r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"
@@ -109,6 +113,8 @@ def surrogate(entity, kind, normal, nonce, key: str):
     for (g, s), names in GIVEN.items():
         given = F.when((gender == g) & (script == s), F.get(F.array(*map(F.lit, names)), _number(seed, F.lit(-2), len(names)).cast("int"))).otherwise(given)
     last = _letters(F.element_at(words, -1), seed)
+    more = _letters(F.repeat(F.lit("n"), F.floor(nonce / LONGER_AFTER).cast("int")), F.concat(seed, F.lit("+")))
+    last = F.concat(last, more)
     name = F.when(F.size(words) > 2, F.concat_ws(" ", title, given, last)).otherwise(F.concat_ws(" ", title, last))
     return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone).otherwise(name)
 
@@ -122,7 +128,7 @@ def entity_map(mentions: DataFrame, key: str) -> DataFrame:
         shared = made.groupBy("kind", "made").agg(F.min("normal").alias("first"), F.count("*").alias("n"))
         real = known.select("kind", F.col("normal").alias("made")).withColumn("real", F.lit(True))
         judged = made.join(shared, ["kind", "made"]).join(real, ["kind", "made"], "left")
-        clash = ((F.col("n") > 1) & (F.col("normal") != F.col("first"))) | F.col("real").isNotNull()
+        clash = ((F.col("n") > 1) & (F.col("normal") != F.col("first"))) | (F.col("real").isNotNull() & (F.col("nonce") < AVOID_REAL))
         known = stored(judged.select("kind", "normal", "entity", (F.col("nonce") + clash.cast("int")).alias("nonce"), clash.alias("clash")), "entities")
         if not known.where("clash").head(1):
             return known.select("kind", "normal", "nonce")
