@@ -155,9 +155,9 @@ def decode(scores: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
 def identify_text(text: str | None, words: WordScores) -> tuple[str, float, str]:
     """Language, share of letters' words in it, spans ``lang:start:end``."""
     langs = words.model["langs"]
-    found = _TOKEN.findall(text or "")
+    found = _TOKEN.findall(text or "") if langs else []
     rows = np.array([words[w] for w in found], dtype=np.int64)
-    if not langs or not rows.any():
+    if not rows.any():
         return "und", 0.0, ""
     path = decode(words.table[rows])
     weight = np.array([len(w) for w in found]) * (rows > 0)

@@ -1,11 +1,11 @@
 """Licence scan: sparse TF-IDF cosine of text blocks to licence templates, then
 inheritance from the nearest ancestor directory.
 
-Each line is a candidate header; the whole file is one more block. The inverse
+Each line is a block that may be a header. The inverse
 document frequencies of the templates' terms are taken over all files; only
 lines that share a term with the templates are scored, and of each file the best
 (licence, cosine) stays. A file named LICENSE, LICENCE, COPYING or NOTICE, or
-whose whole text reaches the threshold, licences its directory. Files without a
+that is little but a licence line (``WHOLE`` of its characters), licences its directory. Files without a
 licence of their own inherit that of the nearest ancestor directory.
 
 Null texts have no licence of their own; null paths inherit none.
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .common import lower_ascii, stored
 
 THRESHOLD = 0.6
+WHOLE = 0.9
 
 # Licence identifiers and the header sentences that name them.
 TEMPLATES = (
@@ -58,7 +59,7 @@ def scan(files: DataFrame) -> DataFrame:
     lines = f.select("path", F.char_length(F.trim("text")).alias("n_text"), F.explode(F.split("text", "\n")).alias("line"))
     lines = lines.select("path", "n_text", F.char_length(F.trim("line")).alias("n_line"), _terms(F.col("line")).alias("terms"))
     hits = lines.withColumn("shared", F.array_intersect("terms", words)).where(F.size("shared") > 0)
-    hits = stored(hits.select("path", (F.col("n_line") >= 0.5 * F.col("n_text")).alias("whole"), "terms", "shared"), "lines")
+    hits = stored(hits.select("path", (F.col("n_line") >= WHOLE * F.col("n_text")).alias("whole"), "terms", "shared"), "lines")
     total = f.count()
     df = hits.select("path", F.explode("shared").alias("w")).groupBy("path", "w").count().groupBy("w").agg(F.count("*").alias("df"))
     idf = {w: 1.0 for w in vocabulary}

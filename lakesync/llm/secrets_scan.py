@@ -6,9 +6,8 @@ fitted by gradient ascent on the likelihood of token windows whose tags come
 from the patterns: at most ``TRAIN_WINDOWS`` windows, picked by a hash. Spans
 it adds carry the kind ``crf``; pattern spans always stay.
 
-Decoding runs on stretches in which leaving O can pay off at all: a stretch
-starts at a token whose best B or I score beats O and lasts while the running
-sum of the (bounded) gains is positive. Outside them O is optimal.
+Decoding runs on the stretches in which leaving O can pay off at all, those of a
+positive sum of the tokens' largest possible gains. Outside them O is optimal.
 
 Null texts are empty: no spans. Long texts are scanned whole.
 """
@@ -182,15 +181,13 @@ def crf_spans(text: str, model: dict, features: Features) -> list[tuple[str, int
     # the most that a token off O can gain: its own score and one transition more than O to O
     extra = max(0.0, (trans - trans[0, 0]).max())
     gain = s[:, 1:].max(1) - s[:, 0] + 2 * extra
-    out, i, hits = [], 0, np.flatnonzero(gain > 0)
-    for start in hits:
-        if start < i:
-            continue
-        i, run = int(start), 0.0
-        while i < len(toks) and run + gain[i] > 0:
-            run += gain[i]
-            i += 1
-        tags = viterbi(s[start:i], trans)
+    # tokens of any stretch of positive total: the highest later sum beats the lowest earlier one
+    total = np.concatenate([[0.0], np.cumsum(gain)])
+    covered = np.maximum.accumulate(total[::-1])[::-1][1:] > np.minimum.accumulate(total)[:-1]
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
+    out = []
+    for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        tags = viterbi(s[start:end], trans)
         k = 0
         while k < len(tags):
             if tags[k] == 1:
