@@ -5,11 +5,17 @@ goes on. A representative's sketch holds the ``K`` smallest hashes of its
 shingles. Inverted lists are keyed by runs of ``RUN`` neighbouring retained
 values, so a passage that many documents share fills a key only where it
 supplies all of the run. Two sets of similarity 0.85 miss every common run of 3
-in 48 values with a probability below 1e-9.
-
-Each list first links its members to one pivot, in two rounds with different
-pivots; then only lists that still hold several components give the pairs
-across components. Pairs are filtered by size, by the estimate on the union
+in 64 values with a probability below 1e-12. A document with ``ENOUGH_RUNS`` runs
+in lists of at most ``LONG_LIST`` members is left out of its longer ones (below
+1e-8 to miss a link then); the longer ones keep the documents that consist of
+widespread runs. Sets of at most ``SHORT`` shingles
+also give runs of one value less: one value can part four common ones 2 to 2.
+
+Each list first links its members to one pivot, the member whose runs are the
+most widespread (of a group of near copies, the text they were made from); then only lists that still hold
+several components give the pairs across components, and only between
+neighbouring size bands: sets of similarity t differ in size by a factor of 1/t
+at most. Pairs are filtered by size, by the estimate on the union
 sketch (``MARGIN`` below the threshold) and confirmed on the full sets.
 
 Null texts and texts without words: empty set, linked with nothing. Repeated
@@ -28,10 +34,13 @@ from pyspark.sql import functions as F
 
 from .common import balanced, stored
 
-K = 48
+K = 64
 RUN = 3
-MARGIN = 0.3
-ROUNDS = 2
+MARGIN = 0.25
+SHORT = 5
+LONG_LIST = 64
+ENOUGH_RUNS = 40
+ROUNDS = 1
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _UPPER = {c: c + 32 for c in range(65, 91)}
@@ -93,6 +102,8 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     and small-star contraction until the links no longer change. Each node's
     links are reduced to a minimum first, so a hub costs a partial aggregate."""
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    digest = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    before = digest(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -102,10 +113,10 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v")
                        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-        sums = [e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for e in (edges, after)]
-        edges = after
-        if sums[0] == sums[1]:
+        edges, now = after, digest(after)
+        if before == now:
             break
+        before = now
     labels = edges.groupBy("u").agg(F.min("v").alias("label"))
     return nodes.join(labels, nodes.node == labels.u, "left").select("node", F.coalesce("label", "node").alias("label"))
 
@@ -138,24 +149,35 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "reps")
     # one doc_id with several texts: its sets are linked through the id itself
     one = reps.dropDuplicates(["doc_id"])
-    run_key = F.transform(F.sequence(F.lit(1), F.size("sketch") - RUN + 1), lambda i: F.xxhash64(*[F.element_at("sketch", i + j) for j in range(RUN)]))
-    lists = one.where(F.size("sketch") >= RUN).select("doc_id", F.explode(F.array_distinct(run_key)).alias("key"))
-    shared = lists.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    lists = stored(lists.join(shared, "key", "left_semi"), "lists")
+    runs = lambda n: F.when(F.size("sketch") >= n, F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("sketch") - n + 1, F.lit(1))), lambda i: F.xxhash64(*[F.get("sketch", i + j - 1) for j in range(n)])))
+    short = F.when(F.col("n_shingles") <= SHORT, F.coalesce(runs(RUN - 1), F.array().cast("array<long>"))).otherwise(F.array().cast("array<long>"))
+    run_key = F.array_union(F.coalesce(runs(RUN), F.array().cast("array<long>")), short)
+    lists = one.select("doc_id", "n_shingles", F.explode(run_key).alias("key"))
+    shared = lists.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    lists = stored(lists.join(shared, "key"), "lists")
+    spread = lists.groupBy("doc_id").agg(F.count_if(F.col("n") > LONG_LIST).alias("n_long"), F.sum("n").alias("spread"))
+    others = F.least("n_shingles", F.lit(k)) - RUN + 1 - F.col("n_long")
+    lists = stored(lists.join(spread, "doc_id").where((F.col("n") <= LONG_LIST) | (others < ENOUGH_RUNS))
+                   .select("doc_id", "n_shingles", "key", "spread"), "lists")
     member = texts.where("doc_id is not null and text is not null")
     links, nodes = None, one.select(F.col("doc_id").alias("node"))
     labels = nodes.withColumn("label", F.col("node"))
     for turn in range(ROUNDS + 1):
         held = lists.join(labels.select(F.col("node").alias("doc_id"), "label"), "doc_id")
         mixed = held.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                        F.min(F.struct(F.xxhash64(F.col("doc_id"), F.lit(turn)), F.col("doc_id").alias("p"), F.col("label").alias("pl"))).alias("pivot")).where("lo < hi")
+                                        F.max(F.struct(F.col("spread"), F.xxhash64(F.col("doc_id"), F.lit(turn)), F.col("doc_id").alias("p"), F.col("label").alias("pl"))).alias("pivot")).where("lo < hi")
         if turn < ROUNDS:
             pairs = held.join(mixed, "key").where("label <> pivot.pl").select(F.col("doc_id"), F.col("pivot.p").alias("p"))
             pairs = pairs.select(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b"))
         else:
-            left = held.join(mixed.select("key"), "key", "left_semi")
-            pairs = left.select("key", F.col("doc_id").alias("a"), F.col("label").alias("la")).join(
-                left.select("key", F.col("doc_id").alias("b"), F.col("label").alias("lb")), "key").where("a < b and la <> lb").select("a", "b")
+            left = held.join(mixed.select("key"), "key", "left_semi").withColumn(
+                "band", F.floor(F.log("n_shingles") / F.log(F.lit(100 / percent))).cast("int"))
+            near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")
+            pairs = left.select("key", F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("label").alias("la"), near).join(
+                left.select("key", F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("label").alias("lb"), "band"), ["key", "band"]) \
+                .where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))
+                       & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b")
         found = _confirmed(pairs, one, member, width, k, percent)
         links = found if links is None else links.unionByName(found)
         labels = stored(components(nodes, links), "labels")
