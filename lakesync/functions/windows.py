@@ -79,8 +79,13 @@ def since(df: DataFrame, column: str, checkpoint: Bound) -> Column:
 
 
 def between_half_open(df: DataFrame, column: str, start: Bound, end: Bound) -> Column:
-    """``start <= column < end``."""
-    return (F.col(column) >= _bound(df, column, start)) & (F.col(column) < _bound(df, column, end))
+    """``start <= column < end``; a bound of ``None`` is open, a NULL column never passes."""
+    cond = F.col(column).isNotNull()
+    if start is not None:
+        cond = cond & (F.col(column) >= _bound(df, column, start))
+    if end is not None:
+        cond = cond & (F.col(column) < _bound(df, column, end))
+    return cond
 
 
 def previous_day(df: DataFrame, column: str, as_of: Bound = None) -> Column:
@@ -98,9 +103,10 @@ def previous_day(df: DataFrame, column: str, as_of: Bound = None) -> Column:
 
 def lagged_range(df: DataFrame, column: str, start: Bound, as_of: Bound = None,
                  lag: str = "1 hour") -> Column:
-    """FLT-4: ``[start, as_of - lag)``; the lag keeps in-flight rows out (FN-2, FN-3)."""
+    """FLT-4: ``[start, as_of - lag)``; the lag keeps in-flight rows out (FN-2, FN-3).
+    A ``start`` of ``None`` is open."""
     end = _as_of_timestamp(df, column, as_of) - F.expr(f"INTERVAL {lag}")
-    return (F.col(column) >= _bound(df, column, start)) & (F.col(column) < end.cast(column_type(df, column)))
+    return between_half_open(df, column, start, end)
 
 
 def run_date_suffix(run_date: _dt.date | _dt.datetime | str) -> str:

@@ -30,11 +30,14 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     DataType,
     DateType,
+    MapType,
     NullType,
     NumericType,
     StringType,
+    StructType,
     TimestampNTZType,
     TimestampType,
 )
@@ -56,10 +59,30 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
 _DATETIME = (DateType, TimestampType, TimestampNTZType)
 
 
+def same_type(a: DataType, b: DataType) -> bool:
+    """Equal types whatever their nested nullability (Parquet reads back nullable)."""
+    return a.simpleString() == b.simpleString()
+
+
+def comparable(c: Column, dtype: DataType) -> Column:
+    """``c`` with every map in it as its sorted entries: maps have neither order
+    nor equality in Spark, their entries have both."""
+    if isinstance(dtype, MapType):
+        return F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(
+            comparable(e["key"], dtype.keyType).alias("key"), comparable(e["value"], dtype.valueType).alias("value"))))
+    if "map<" not in dtype.simpleString():
+        return c
+    if isinstance(dtype, ArrayType):
+        return F.transform(c, lambda e: comparable(e, dtype.elementType))
+    if isinstance(dtype, StructType):
+        return F.when(c.isNotNull(), F.struct(*[comparable(c[f.name], f.dataType).alias(f.name) for f in dtype.fields]))
+    return c
+
+
 def assignable(src: DataType, dst: DataType) -> bool:
     """ANSI store assignment: same type, numeric to numeric, datetime to
     datetime, anything atomic to string, NULL to anything."""
-    if src == dst or isinstance(src, NullType):
+    if same_type(src, dst) or isinstance(src, NullType):
         return True
     if isinstance(src, NumericType) and isinstance(dst, NumericType):
         return True
@@ -84,7 +107,8 @@ def align_to(source: DataFrame, target_schema, strict: bool = True) -> DataFrame
             if not assignable(src_types[f.name], f.dataType):
                 raise TypeError(f"column {f.name!r}: cannot store {src_types[f.name].simpleString()} "
                                 f"in {f.dataType.simpleString()}")
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            same = same_type(src_types[f.name], f.dataType)
+            cols.append(F.col(f.name) if same else F.col(f.name).cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return source.select(*cols)
@@ -156,9 +180,8 @@ def latest_per_key(source: DataFrame, keys: str | Sequence[str], order_col: str)
     keys = _keys(keys)
     cols = source.columns
     types = {f.name: f.dataType for f in source.schema.fields}
-    # the tie-break orders whole rows; maps have no order, so they rank by JSON text
-    ranked = F.struct(F.col(order_col), *[F.to_json(F.col(c)).alias(c) if "map<" in types[c].simpleString()
-                                          else F.col(c) for c in cols])
+    # the tie-break orders whole rows
+    ranked = F.struct(F.col(order_col), *[comparable(F.col(c), types[c]).alias(c) for c in cols])
     latest = (source.filter(_non_null(keys)).groupBy(*keys)
               .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ranked).alias("__row"))
               .select("__row.*"))
@@ -270,10 +293,7 @@ def match_keys(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str]
         raise ValueError(f"{n_keys} source keys exceed the broadcast bound {broadcast_keys}")
     keys = _keys(keys)
     types = {f.name: f.dataType for f in target.schema.fields}
-    # Maps have no order or equality in Spark; they are compared as JSON text
-    # (a different key order can only cause an unneeded rewrite).
-    others = [F.to_json(F.col(c)).alias(c) if "map<" in types[c].simpleString() else F.col(c)
-              for c in target.columns if c not in keys]
+    others = [comparable(F.col(c), types[c]).alias(c) for c in target.columns if c not in keys]
     row = F.struct(*others) if others else F.lit(0)
     src = incoming.filter(_non_null(keys)).select(*keys, row.alias("__v"), F.lit(1).alias("__side"))
     if summary is not None:

@@ -16,12 +16,14 @@ from dataclasses import dataclass, field
 from typing import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakesync.functions.windows import Bound, lagged_range, since
 from lakesync.operators import maintenance
 from lakesync.operators.batch import DEFAULT_EXACT_ROWS, bounded_batch
 from lakesync.operators.checkpoint import Checkpoint
 from lakesync.operators.relation import relation_delta
+from lakesync.operators.upsert import assert_unique_keys
 from lakesync.sources.lake import LakeTable, TableNotFound, staged, table_path
 
 
@@ -45,20 +47,40 @@ def incremental_load(source: DataFrame, target, column: str, keys: Sequence[str]
     checkpoint (the reference hard-codes ``write_date``); it defaults to
     ``column``. Upsert vs. append depends on whether the target exists, not
     on the checkpoint's truthiness (E2); an empty target loads from the start
-    (E3). The batch (at most ``max_rows`` rows) is materialised under the
-    shared checkpoint folder once, so the source is not re-read by the merge.
+    (E3). The batch is all rows at the checkpoint value plus the first
+    ``max_rows`` beyond it, so every run advances however many rows share one
+    value, and rows that a batch left out of a tie come with the next run. It
+    is materialised under the shared checkpoint folder once, so the source is
+    not re-read by the merge. ``details["advanced"]`` tells whether it holds
+    rows beyond the checkpoint. A first load whose batch repeats a key raises,
+    as a merge does.
     ``batch_strategy="sorted"`` lets a JDBC catalog source run the
     ``ORDER BY ... LIMIT`` itself (see :func:`bounded_batch`).
     """
     exists = target.exists()
     cp = target.latest_value(column, order_col) if exists else None
-    batch = staged(bounded_batch(source, column, max_rows, keys=keys, checkpoint=cp,
-                                 with_ties=with_ties, exact_rows=exact_rows, strategy=batch_strategy))
+    beyond = F.lit(True) if cp is None else F.col(column) > cp.lit()
+    batch = bounded_batch(source.filter(beyond), column, max_rows, keys=keys, with_ties=with_ties,
+                          exact_rows=exact_rows, strategy=batch_strategy)
+    if cp is not None:
+        batch = source.filter(F.col(column) == cp.lit()).unionByName(batch)
+    batch = staged(batch)
+    advanced = not batch.filter(beyond).isEmpty()
     if exists:
         how = target.merge(batch, list(keys))
-        return RunReport("merge", cp, details={"write": how})
+        return RunReport("merge", cp, details={"write": how, "advanced": advanced})
+    assert_unique_keys(batch, list(keys))
     target.append(batch)
-    return RunReport("append", cp)
+    return RunReport("append", cp, details={"advanced": advanced})
+
+
+def drain(load) -> int:
+    """Repeats ``load`` (a call of :func:`incremental_load`) until a run finds
+    nothing beyond its checkpoint; returns the number of runs."""
+    runs = 1
+    while load().details["advanced"]:
+        runs += 1
+    return runs
 
 
 def daily_incremental_load(spark, source: DataFrame, root: str, data_source: str, source_name: str,

@@ -259,20 +259,25 @@ def q_vacuum_plan(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- jobs
+def _batch_rows(df) -> int:
+    """A quarter of the table, so the jobs drain it in a fixed number of runs."""
+    return max(BATCH_ROWS, -(-df.count() // 4))
+
+
 def q_job_incremental_bronze(spark, sf_dir):
     events = _t(spark, sf_dir, "events")
     target = _scratch(spark, "bronze")
-    for _ in range(2):
-        jobs.incremental_load(events, target, "ts", keys=["event_id"], max_rows=BATCH_ROWS)
+    rows = _batch_rows(events)
+    jobs.drain(lambda: jobs.incremental_load(events, target, "ts", keys=["event_id"], max_rows=rows))
     return target.read().select(*EVENT_COLS)
 
 
 def q_job_daily_bronze(spark, sf_dir):
     events = _t(spark, sf_dir, "events")
     root = scratch_path(spark, "lake")
-    for _ in range(2):
-        jobs.daily_incremental_load(spark, events, root, "bronze", "app", "events", "ts",
-                                    run_date=DAILY_RUN_DATE, keys=["event_id"], max_rows=BATCH_ROWS)
+    rows = _batch_rows(events)
+    jobs.drain(lambda: jobs.daily_incremental_load(spark, events, root, "bronze", "app", "events", "ts",
+                                                   run_date=DAILY_RUN_DATE, keys=["event_id"], max_rows=rows))
     from lakesync.sources.lake import table_path
 
     return LakeTable(spark, table_path(root, "bronze", "app", "events", DAILY_RUN_DATE)).read().select(*EVENT_COLS)
@@ -401,10 +406,6 @@ where l_orderkey in (select id from cl) or l_partkey in (select id from ct)"""
 _INC = f"select {_EV} from events where ts >= {_CP}"
 _B1 = f"select {_OR} from orders order by o_orderdate asc nulls last, o_orderkey asc limit {BATCH_ROWS}"
 _EB1 = f"select {_EV} from events order by ts asc nulls last, event_id asc limit {BATCH_ROWS}"
-_EB2 = (f"select {_EV} from events where ts >= (select max(ts) from b1) "
-        f"order by ts asc nulls last, event_id asc limit {BATCH_ROWS}")
-_BRONZE = (f"with b1 as ({_EB1}), b2 as ({_EB2}) "
-           f"select * from b1 where event_id not in (select event_id from b2) union all select * from b2")
 _BACKFILL = (f"select {_EV} from events where ts >= timestamp '{BACKFILL_START}' "
              f"and ts < timestamp '{BACKFILL_AS_OF}' - interval '1' hour")
 
@@ -460,8 +461,8 @@ ORACLE_SQL: dict[str, str] = {
                       f"value, cast(null as varchar) as props from events "
                       f"where ts >= timestamp '{EVENTS_LOADED_BEFORE}'"),
     "compact_preserves": f"select {_OR} from orders",
-    "job_incremental_bronze": _BRONZE,
-    "job_daily_bronze": _BRONZE,
+    "job_incremental_bronze": f"select {_EV} from events",
+    "job_daily_bronze": f"select {_EV} from events",
     "job_relation_to_lake": _RD,
     "job_full_refresh": f"select {_EV} from events",
     "job_lake_to_staging": _INC,

@@ -36,6 +36,7 @@ from lakesync.operators.upsert import (
     merge_prepared,
     new_rows,
     prepare_source,
+    same_type,
 )
 from lakesync.sources import files
 
@@ -66,7 +67,7 @@ def union_schema(old: StructType, new: StructType) -> StructType:
     names = {f.name: f for f in old.fields}
     for f in new.fields:
         if f.name in names:
-            if names[f.name].dataType != f.dataType:
+            if not same_type(names[f.name].dataType, f.dataType):
                 raise TypeError(f"column {f.name!r}: {names[f.name].dataType.simpleString()} "
                                 f"vs {f.dataType.simpleString()}")
         else:

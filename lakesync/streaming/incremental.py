@@ -17,6 +17,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lakesync.operators.upsert import assert_unique_keys, latest_per_key
 from lakesync.sources.lake import LakeTable
 
 
@@ -30,7 +31,10 @@ def _apply(target: LakeTable, keys: Sequence[str], order_col: str | None):
                 target.merge(batch, list(keys), on_duplicate="latest", order_col=order_col)
             else:
                 target.merge(batch, list(keys))
+        elif order_col:
+            target.append(latest_per_key(batch, list(keys), order_col))
         else:
+            assert_unique_keys(batch, list(keys))
             target.append(batch)
     return apply
 
@@ -42,7 +46,8 @@ def stream_incremental_load(spark: SparkSession, source_dir: str, schema: Struct
     """Upsert every new Parquet file of ``source_dir`` into ``target``.
 
     ``order_col`` (optional) keeps the latest row per key when one
-    micro-batch holds several versions of a row. The streaming checkpoint
+    micro-batch, the first included, holds several versions of a row; without
+    it such a batch raises. Across micro-batches the later one wins. The streaming checkpoint
     defaults to ``<target>/_stream_checkpoint`` on the target's shared
     storage. Returns the (finished, when ``wait``) ``StreamingQuery``.
     """

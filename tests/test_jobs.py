@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from lakesync.operators.upsert import DuplicateKeyError
 from lakesync.plans import jobs
 from lakesync.sources.lake import LakeTable, TableNotFound
 from tests.conftest import SF_SMALL
@@ -103,3 +104,17 @@ def test_full_refresh_keeps_old_columns_as_null(spark, scratch):
     jobs.full_refresh(spark.createDataFrame([(2, "b")], "id long, v string"), t)
     assert t.read().columns == ["id", "v", "old"]
     assert [tuple(r) for r in t.read().collect()] == [(2, "b", None)]
+
+
+def test_load_advances_through_ties_larger_than_a_batch(spark, scratch):
+    rows = [(i, 1) for i in range(8)] + [(8, 2)]
+    source = spark.createDataFrame(rows, "id long, seq int")
+    target = LakeTable(spark, scratch("ties"))
+    jobs.drain(lambda: jobs.incremental_load(source, target, "seq", keys=["id"], max_rows=3))
+    assert sorted(tuple(r) for r in target.read().collect()) == rows
+
+
+def test_first_load_with_a_repeated_key_raises(spark, scratch):
+    source = spark.createDataFrame([(1, 1), (1, 2)], "id long, seq int")
+    with pytest.raises(DuplicateKeyError):
+        jobs.incremental_load(source, LakeTable(spark, scratch("first")), "seq", keys=["id"])

@@ -2,6 +2,7 @@
 
 import pytest
 
+from lakesync.functions.windows import between_half_open, lagged_range
 from lakesync.operators.relation import relation_delta, touched_pairs
 from lakesync.registry import _relation
 from tests.conftest import SF_CHECK
@@ -52,3 +53,11 @@ def test_checkpoint_plans(spark):
     assert "TakeOrderedAndProject(limit=1" in top1
     agg = q_checkpoint_max(spark, SF_CHECK)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in agg and "ReadSchema: struct<o_orderdate:timestamp_ntz>" in agg
+
+
+def test_windows_open_on_one_side(spark):
+    df = spark.createDataFrame([(1, "2024-01-14"), (2, "2024-01-16"), (3, None)], "id long, d string").selectExpr("id", "cast(d as timestamp_ntz) d")
+    ids = lambda cond: sorted(r.id for r in df.filter(cond).collect())
+    assert ids(between_half_open(df, "d", "2024-01-15", None)) == [2]
+    assert ids(between_half_open(df, "d", None, "2024-01-15")) == [1]
+    assert ids(lagged_range(df, "d", None, "2024-01-16 01:00:01")) == [1, 2]

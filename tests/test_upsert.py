@@ -2,6 +2,7 @@
 
 import pytest
 
+from lakesync.sources.lake import LakeTable
 from lakesync.operators.upsert import DuplicateKeyError, insert_missing, upsert
 from tests.conftest import SF_CHECK
 
@@ -188,3 +189,23 @@ def test_keep_latest_with_a_map_column(spark):
     source = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"a": 2}), (2, 1, None)], schema)
     got = upsert(target, source, "id", on_duplicate="latest", order_col="seq")
     assert sorted((r["id"], r["seq"], r["attrs"]) for r in got.collect()) == [(1, 2, {"a": 2}), (2, 1, None)]
+
+
+def test_map_change_of_one_microsecond_is_a_change(spark, scratch):
+    frame = lambda ts: spark.sql(f"select 1L as id, map('a', timestamp '{ts}') as m, array(map(1, 'x')) as a")
+    table = LakeTable(spark, scratch("map-micro"))
+    table.append(frame("2024-01-01 00:00:00.000001"))
+    assert table.merge(frame("2024-01-01 00:00:00.000001"), "id") == "append"
+    assert table.merge(frame("2024-01-01 00:00:00.000002"), "id") == "rewrite"
+    assert table.read().selectExpr("cast(m['a'] as string) v").first()["v"].endswith("000002")
+
+
+def test_array_columns_through_every_write(spark, scratch):
+    df = spark.sql("select 1L as id, split('a b', ' ') as words")
+    table = LakeTable(spark, scratch("arrays"))
+    table.append(df)
+    table.merge(df, "id")
+    table.overwrite(df)
+    table.truncate_load(df)
+    table.append(spark.sql("select 2L as id, split('c', ' ') as words"))
+    assert sorted((r.id, r.words) for r in table.read().collect()) == [(1, ["a", "b"]), (2, ["c"])]
