@@ -331,3 +331,13 @@ def test_fingerprint_edges(spark):
     out = fingerprints.fingerprint_documents(docs_of(spark, [None, "ab", ""])).orderBy("doc_id").collect()
     assert [r["n_chars"] for r in out] == [0, 2, 0] and out[0]["fingerprint"] == out[2]["fingerprint"]
     assert fingerprints.fingerprint_documents(docs_of(spark, ["a"]).where("false")).count() == 0
+
+
+def test_tiny_near_duplicates_are_linked_wherever_the_extra_shingle_ranks(spark):
+    rows = []
+    for i in range(12):  # four and five shingles, four in common: similarity 0.8
+        words = [f"w{i}x{j}" for j in range(9)]
+        rows += [(2 * i, " ".join(words[:8])), (2 * i + 1, " ".join(words))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == {d: d - d % 2 for d, _ in rows}
