@@ -1,11 +1,12 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Fixed masks over ``SPAN`` tokens ignore some positions, so a window with
-substituted words still meets the benchmark under another mask. Masked hashes of
-all documents join those of the benchmark; each hit fixes a diagonal (document
+Fixed masks ignore some positions, so a window with substituted words still
+meets the benchmark under another mask or at another place. Masked hashes of all
+documents join those of the benchmark; each hit fixes a diagonal (document
 position minus item position), on which the tokens are compared. An item is
 leaked where some ``WINDOW`` aligned tokens (or all of a shorter item) agree in
-at least ``SIMILARITY``. Items shorter than the span are sought as a whole.
+at least ``SIMILARITY``. The masks of each length meet every pattern of
+substitutions that this allows (the tests enumerate them), so no leak is missed.
 
 Null and empty texts hold nothing. Equal benchmark texts are searched once and
 reported for each item_id; equal document rows give one row per item.
@@ -18,30 +19,41 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii, stored
 
-SPAN = 10
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 5, 7, 9), (4, 5, 6, 7, 8, 9))
 WINDOW = 20
 SIMILARITY = 0.8
 BROADCAST_ROWS = 1_000_000
 
 
+def masks_of(n: int) -> tuple[tuple[int, ...], ...]:
+    """The masks for items of n tokens; those of ``WINDOW`` tokens serve longer ones."""
+    if n < 5:  # no substitution is allowed
+        return (tuple(range(n)),)
+    if n == 5:
+        return ((0, 1, 2), (0, 1, 3))
+    if n in (6, 7, 10, 11):
+        return ((0, 1, 2, 3), (0, 1, 3, 4))
+    return ((0, 2, 3, 4, 5), (0, 1, 2, 5, 6))
+
+
 def _tokens(col):
     return F.filter(F.split(lower_ascii(F.coalesce(col, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
-def _seeds(hashes: str, lengths: list[int]):
-    """(pos, h): a hash per window and mask, and one per whole window of the
-    short lengths. ``hashes`` is an array column of token hashes."""
+def _seeds(hashes: str, lengths: list[int], length=None):
+    """(pos, h): a hash per place and mask of ``lengths``, where ``length`` is
+    given only for the masks of that length. ``hashes`` is an array column of
+    token hashes."""
     at = lambda i, o: F.get(F.col(hashes), i + o)
     n = F.size(hashes)
-    kinds = [(SPAN, mask) for mask in MASKS] + [(w, tuple(range(w))) for w in lengths]
+    none = F.array().cast("array<struct<pos:int,h:bigint>>")
 
-    def windows(k, w, mask):
-        starts = F.when(n >= w, F.sequence(F.lit(0), n - w)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(k), *[at(i, o) for o in mask]).alias("h")))
+    def places(mask):
+        starts = F.when(n > mask[-1], F.sequence(F.lit(0), n - mask[-1] - 1)).otherwise(F.array().cast("array<int>"))
+        kind = F.lit(",".join(map(str, mask)))
+        made = F.transform(starts, lambda i: F.struct(i.alias("pos"), F.xxhash64(kind, *[at(i, o) for o in mask]).alias("h")))
+        return made if length is None else F.when(length.isin([w for w in lengths if mask in masks_of(w)]), made).otherwise(none)
 
-    made = [windows(k, w, mask) for k, (w, mask) in enumerate(kinds)]
-    return F.concat(*made)
+    return F.concat(none, *[places(mask) for mask in sorted({m for w in lengths for m in masks_of(w)})])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -50,14 +62,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     b = benchmark.select("item_id", _tokens(F.col("text").cast("string")).alias("item")).where(F.size("item") > 0)
     b = stored(b.withColumn("item_key", F.xxhash64("item")), "benchmark")
     items = b.groupBy("item_key").agg(F.first("item").alias("item"))
-    short = [r[0] for r in items.select(F.size("item").alias("n")).where(F.col("n") < SPAN).distinct().collect()]  # below SPAN values
+    length = F.least(F.size("item"), F.lit(WINDOW))
+    lengths = [r[0] for r in items.select(length).distinct().collect()]  # at most WINDOW values
     seeds = items.withColumn("hs", F.transform("item", lambda t: F.xxhash64(t)))
-    seeds = seeds.select("item_key", F.size("item").alias("n"), F.explode(_seeds("hs", sorted(short))).alias("s"))
+    seeds = seeds.select("item_key", F.explode(_seeds("hs", lengths, length)).alias("s"))
     seeds = stored(seeds.select("item_key", F.col("s.pos").alias("item_pos"), "s.h").distinct(), "seeds")
     d = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     d = d.withColumn("key", F.xxhash64("doc_id", "text"))
     found = d.select("key", F.transform(_tokens(F.col("text")), lambda t: F.xxhash64(t)).alias("hs")) \
-        .select("key", F.explode(_seeds("hs", sorted(short))).alias("s")).select("key", "s.pos", "s.h")
+        .select("key", F.explode(_seeds("hs", lengths)).alias("s")).select("key", "s.pos", "s.h")
     if seeds.count() <= BROADCAST_ROWS:  # rows of three numbers; beyond it a shuffle join
         seeds = F.broadcast(seeds)
     hits = stored(found.join(seeds, "h").select("key", "item_key", (F.col("pos") - F.col("item_pos")).alias("diag")).distinct(), "hits")

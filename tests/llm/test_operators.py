@@ -264,6 +264,33 @@ def test_decontamination_finds_whole_items(spark, documents):
     assert want <= got
 
 
+def allowed_changes(n):
+    """Every set of changed places that leaves an item of n tokens leaked."""
+    most = max(e for e in range(n + 1) if n - e >= decontaminate.SIMILARITY * n)
+    return itertools.combinations(range(n), most)
+
+
+def test_masks_meet_every_allowed_pattern():
+    for n in range(1, decontaminate.WINDOW + 1):
+        placed = [{i + o for o in m} for m in decontaminate.masks_of(n) for i in range(n - m[-1])]
+        assert placed and all(any(not p.intersection(c) for p in placed) for c in allowed_changes(n)), n
+
+
+def test_decontamination_finds_changed_short_items(spark):
+    items = {n: [f"i{n}t{j}" for j in range(n)] for n in (*range(3, 13), 15, 20)}
+    texts, want = [], set()
+    for n, item in items.items():
+        patterns = list(allowed_changes(n))
+        for c in patterns[::1 + len(patterns) // 80]:
+            want.add((len(texts), n))
+            texts.append(" ".join(["before", *["other" if j in c else t for j, t in enumerate(item)], "after"]))
+        over = [*range(len(patterns[0]) + 1)]  # one change too many
+        texts.append(" ".join("other" if j in over else t for j, t in enumerate(item)))
+    bench = spark.createDataFrame([(n, " ".join(t)) for n, t in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs_of(spark, texts), bench).collect()}
+    assert got == want
+
+
 # ------------------------------------------------------------- 9 near-dedup
 def brute_groups(texts, width, percent):
     def shingles(t):
