@@ -2,9 +2,9 @@
 inheritance from the nearest ancestor directory.
 
 Each line is a block that may be a header. The inverse
-document frequencies of the templates' terms are taken over all files; only
-lines that share a term with the templates are scored, and of each file the best
-(licence, cosine) stays. A file named LICENSE, LICENCE, COPYING or NOTICE, or
+document frequencies of all terms of the scored lines are taken over all
+files; only lines that hold one of the terms without which no template can be
+reached are scored, and of each file the best (licence, cosine) stays. A file named LICENSE, LICENCE, COPYING or NOTICE, or
 that is little but a licence line (``WHOLE`` of its characters), licences its directory. Files without a
 licence of their own inherit that of the nearest ancestor directory.
 
@@ -20,6 +20,7 @@ from .common import lower_ascii, stored
 
 THRESHOLD = 0.6
 WHOLE = 0.9
+BROADCAST_TERMS = 100_000
 
 # Licence identifiers and the header sentences that name them.
 TEMPLATES = (
@@ -48,6 +49,19 @@ def templates(spark: SparkSession) -> DataFrame:
         .select("template", "license", _terms(F.col("body")).alias("terms"))
 
 
+def _heavy(terms, idf):
+    """Terms of a template of which a block must hold one to reach the threshold:
+    by Cauchy and Schwarz the cosine is at most the shared terms' part of the
+    template's norm, and all other terms together have less than that."""
+    squares = sorted(((terms.count(w) * idf[w]) ** 2, w) for w in set(terms))
+    least, light, out = (THRESHOLD - 1e-6) ** 2 * sum(x for x, _ in squares), 0.0, []
+    for x, w in squares:
+        light += x
+        if light >= least:
+            out.append(w)
+    return out
+
+
 def scan(files: DataFrame) -> DataFrame:
     """path, license, cosine, origin (own, inherited or none) and license_dir of
     ``files`` (path, text)."""
@@ -56,34 +70,43 @@ def scan(files: DataFrame) -> DataFrame:
     vocabulary = sorted({w for r in t.collect() for w in r["terms"]})  # the terms of the fixed templates
     words = F.array(*[F.lit(w) for w in vocabulary])
     f = files.select("path", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    lines = f.select("path", F.char_length(F.trim("text")).alias("n_text"), F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("path", "n_text", F.char_length(F.trim("line")).alias("n_line"), _terms(F.col("line")).alias("terms"))
-    hits = lines.withColumn("shared", F.array_intersect("terms", words)).where(F.size("shared") > 0)
-    hits = stored(hits.select("path", (F.col("n_line") >= WHOLE * F.col("n_text")).alias("whole"), "terms", "shared"), "lines")
     total = f.count()
-    df = hits.select("path", F.explode("shared").alias("w")).groupBy("path", "w").count().groupBy("w").agg(F.count("*").alias("df"))
-    idf = {w: 1.0 for w in vocabulary}
+    known = f.select("path", F.explode(F.array_intersect(_terms(F.col("text")), words)).alias("w"))
+    df = known.groupBy("path", "w").count().groupBy("w").agg(F.count("*").alias("df"))
     rows = df.select("w", F.log((F.lit(total) + 1) / (F.col("df") + 1)).alias("idf")).collect()  # one row per template term
     most = float(spark.range(1).select(F.log(F.lit(total + 1.0))).first()[0]) + 1.0
     idf = {w: most for w in vocabulary} | {r["w"]: r["idf"] + 1.0 for r in rows}
     weights = F.create_map(*[F.lit(x) for kv in sorted(idf.items()) for x in kv])
-    of = lambda w: F.coalesce(weights[w], F.lit(most))
-    # tf-idf of a block: term counts by their weight; terms of no template weigh the most
-    distinct = hits.select("path", "whole", F.array_sort("terms").alias("block"), "shared").groupBy("path", "block").agg(
-        F.max("whole").alias("whole"), F.first("shared").alias("shared"))
+    of = lambda w: weights[w]
+    heavy = F.array(*[F.lit(w) for w in sorted({w for r in t.collect() for w in _heavy(r["terms"], idf)})])
+    lines = f.select("path", F.char_length(F.trim("text")).alias("n_text"), F.explode(F.split("text", "\n")).alias("line"))
+    lines = lines.select("path", "n_text", F.char_length(F.trim("line")).alias("n_line"), _terms(F.col("line")).alias("terms"))
+    hits = stored(lines.where(F.arrays_overlap("terms", heavy)).select(
+        "path", (F.col("n_line") >= WHOLE * F.col("n_text")).alias("whole"), F.array_sort("terms").alias("block")), "lines")
+    distinct = hits.groupBy("path", "block").agg(F.max("whole").alias("whole")).withColumn("shared", F.array_intersect("block", words))
     blocks = distinct.groupBy("block").agg(F.first("shared").alias("shared"))
     tf = lambda terms, w: F.size(F.filter(terms, lambda x: x == w))
-    square = lambda terms: F.aggregate(F.array_distinct(terms), F.lit(0.0), lambda a, w: a + F.pow(tf(terms, w) * of(w), F.lit(2.0)))
-    t = stored(t.select("template", "license", "terms", F.sqrt(square(F.col("terms"))).alias("t_norm"),
+    square = lambda terms, known: F.aggregate(known, F.lit(0.0), lambda a, w: a + F.pow(tf(terms, w) * of(w), F.lit(2.0)))
+    t = stored(t.select("template", "license", "terms", F.sqrt(square(F.col("terms"), F.array_distinct("terms"))).alias("t_norm"),
                         F.explode(F.array_distinct("terms")).alias("w")).select("template", "license", "t_norm", "w", (tf(F.col("terms"), F.col("w")) * of(F.col("w"))).alias("t_weight")), "templates")
-    # a block reaches the threshold only if its template terms hold that share of its norm
-    mass = F.aggregate("shared", F.lit(0.0), lambda a, w: a + F.pow(tf(F.col("block"), w) * of(w), F.lit(2.0)))
-    light = blocks.withColumn("most", mass).where(
-        F.col("most") >= THRESHOLD ** 2 * F.size(F.array_distinct("block"))).withColumn("norm", F.sqrt(square(F.col("block")))) \
-        .where(F.sqrt("most") >= THRESHOLD * F.col("norm"))
-    dots = light.select("block", "norm", F.explode("shared").alias("w")).withColumn("b", tf(F.col("block"), F.col("w")) * of(F.col("w"))) \
-        .join(F.broadcast(t), "w").groupBy("block", "norm", "template", "license", "t_norm").agg(F.sum(F.col("b") * F.col("t_weight")).alias("dot"))
-    scored = dots.withColumn("cosine", F.round(F.col("dot") / (F.col("norm") * F.col("t_norm")), 9)).where(F.col("cosine") >= THRESHOLD)
+    # terms of no template weigh 1 at least, which bounds the cosine from above
+    # before their document frequencies are known
+    others = F.array_except("block", words)
+    light = blocks.withColumn("least", F.size(others)).withColumn("mass", square(F.col("block"), F.col("shared"))) \
+        .where(F.col("mass") >= THRESHOLD ** 2 * (F.col("mass") + F.col("least")))
+    dots = light.select("block", "mass", "least", F.explode("shared").alias("w")).withColumn("b", tf(F.col("block"), F.col("w")) * of(F.col("w"))) \
+        .join(F.broadcast(t), "w").groupBy("block", "mass", "least", "template", "license", "t_norm").agg(F.sum(F.col("b") * F.col("t_weight")).alias("dot"))
+    near = stored(dots.where(F.col("dot") >= (THRESHOLD - 1e-6) * F.col("t_norm") * F.sqrt(F.col("mass") + F.col("least")))
+                  .select("block", "mass", "template", "license", "t_norm", "dot"), "near")
+    # tf-idf of the other terms, by their document frequencies over all files
+    extra = stored(near.select("block").distinct().select("block", F.explode(others).alias("w")).withColumn("n", tf(F.col("block"), F.col("w"))), "extra")
+    sought = stored(extra.select("w").distinct(), "sought")
+    sought = F.broadcast(sought) if sought.count() <= BROADCAST_TERMS else sought
+    held = f.select("path", F.explode(F.array_distinct(_terms(F.col("text")))).alias("w")).join(sought, "w", "left_semi")
+    df = held.groupBy("path", "w").count().groupBy("w").agg((F.log((F.lit(total) + 1) / (F.count("*") + 1)) + 1).alias("idf"))
+    rest = extra.join(df, "w").groupBy("block").agg(F.sum(F.pow(F.col("n") * F.col("idf"), F.lit(2.0))).alias("rest"))
+    scored = near.join(rest, "block", "left").withColumn("norm", F.sqrt(F.col("mass") + F.coalesce("rest", F.lit(0.0)))) \
+        .withColumn("cosine", F.round(F.col("dot") / (F.col("norm") * F.col("t_norm")), 9)).where(F.col("cosine") >= THRESHOLD)
     best = scored.groupBy("block").agg(F.max(F.struct("cosine", (-F.col("template")).alias("t"), "license")).alias("top"))
     own = stored(distinct.join(best, "block").groupBy("path").agg(F.max(F.struct("top", "whole")).alias("m")).select(
         "path", F.col("m.top.license").alias("license"), F.col("m.top.cosine").alias("cosine"), F.col("m.whole").alias("whole")), "own")

@@ -87,6 +87,20 @@ def test_licence_lines_of_the_table(spark, documents):
     assert all(got[i] in k for i, k in want.items())
 
 
+@pytest.mark.parametrize("n", [40, 4000])
+def test_licence_header_with_common_words(spark, n):
+    common_words = "this file is part of the project and you may use it as you like"
+    header = "This file is part of the project and you may use it as released under the MIT License."
+    files = [("x/header", header)] + [(f"x/{i}", f"{common_words}\nw{i}") for i in range(n - 1)]
+    got = {r["path"]: r for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).where("origin = 'own'").collect()}
+    assert set(got) == {"x/header"} and got["x/header"]["license"] == "MIT"
+    # the cosine by hand, with idf ln((n + 1) / (df + 1)) + 1: four words of one file, twelve of all and twice 'the'
+    idf = lambda df: np.log((n + 1) / (df + 1)) + 1
+    heavy, light = 4 * idf(1) ** 2, idf(n) ** 2
+    want = (heavy + 2 * light) / np.sqrt((heavy + light) * (heavy + (12 + 4) * light))
+    assert got["x/header"]["cosine"] == pytest.approx(want, abs=1e-6)
+
+
 # ------------------------------------------------------------- 3 secrets
 def brute_base(text):
     out = [("assign", *m.span()) for m in re.finditer(
