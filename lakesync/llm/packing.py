@@ -1,7 +1,8 @@
 """Best-fit packing of token pieces by hierarchical residual packing.
 
-Every partition packs its own pieces best-fit decreasing and emits the bins it
-has filled. Underfull bins travel up a tree as items: each level deals them to
+The pieces' sizes are dealt to the partitions by a hash, so that lengths which
+are clustered in the input mix. Every partition packs its own pieces best-fit
+decreasing and emits the bins it has filled. Underfull bins travel up a tree as items: each level deals them to
 an eighth of the groups and packs them best-fit again. A group passes on its
 ``CARRY`` emptiest bins at most; after best-fit all but one bin are more than
 half full, so the others could only take up one of the few passed-on small bins.
@@ -110,7 +111,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, carry: int = CARRY) -> Data
     """Places (uid, sequence_id, offset) for items (uid, size); uids are unique."""
     schema = "uid long, bin long, offset long, fill long, passed boolean"
     groups = max(1, items.rdd.getNumPartitions())
-    placed = stored(items.select("uid", "size").mapInPandas(_pack(capacity, carry), schema), "pack")
+    placed = stored(items.select("uid", "size").repartition(groups, "uid").mapInPandas(_pack(capacity, carry), schema), "pack")
     while True:
         open_bins = placed.where("passed").select(F.col("bin").alias("uid"), F.col("fill").alias("size")).distinct()
         if groups == 1:

@@ -254,6 +254,13 @@ def test_packing_tree_and_empty(spark):
     assert packing.pack_documents(docs_of(spark, ["a"]).where("false"), queries.tokenizer_path()).count() == 0
 
 
+def test_packing_of_pieces_sorted_by_length(spark):
+    items = spark.range(0, 4000, 1, 8).selectExpr("id as uid", "if(id < 2000, 1200, 800) as size")
+    rows = packing.pack(items, capacity=2000).collect()
+    assert len({r["uid"] for r in rows}) == len(rows) == 4000
+    assert len({r["sequence_id"] for r in rows}) < 2150  # 2000 are enough
+
+
 # ------------------------------------------------------------- 8 decontamination
 def test_decontamination(spark):
     rng = np.random.default_rng(5)
