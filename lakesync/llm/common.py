@@ -30,3 +30,17 @@ def balanced(df: DataFrame) -> DataFrame:
 def lower_ascii(col):
     """Only A-Z lower-cased, whatever the locale."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def sampled(df: DataFrame, columns: list[str], rows: int, total: int | None = None) -> DataFrame:
+    """About ``rows`` rows of ``df`` (all, if it has no more), picked by the hash
+    of ``columns``; at most twice as many, whatever repeats."""
+    total = df.count() if total is None else total
+    if total <= rows:
+        return df
+    return df.where(F.xxhash64(*columns) < F.lit(hash_bound(rows, total))).limit(2 * rows)
+
+
+def hash_bound(rows: int, total: int) -> int:
+    """64-bit hashes below this are ``rows`` of ``total``, at any size."""
+    return (rows << 64) // total - (1 << 63)

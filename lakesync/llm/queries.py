@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, language_id, licenses, near_dedup, packing, pii, secrets_scan, sharding
+from . import (chat, decontaminate, fingerprints, language_id, lexical, licenses, near_dedup, packing, pii, quality,
+               secrets_scan, sharding, spelling)
 from .common import table
 
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -62,8 +63,21 @@ def op10_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark, sf_dir):
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_quality_classifier(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_license_scan, op3_secret_scan, op4_chat_format, op5_sharding, op6_pii_surrogates,
-    op7_best_fit_packing, op8_decontamination, op9_minhash_dedup, op10_fingerprints)}
+    op7_best_fit_packing, op8_decontamination, op9_minhash_dedup, op10_fingerprints, op11_lexical_search,
+    op12_quality_classifier, op13_spelling_variants)}
 
-ORACLE_SQL = {"op5_sharding": sharding.ORACLE_SQL}
+ORACLE_SQL = {"op5_sharding": sharding.ORACLE_SQL, "op11_lexical_search": lexical.ORACLE_SQL}
