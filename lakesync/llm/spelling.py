@@ -37,7 +37,8 @@ MIN_COUNT = 5
 FORM_RATIO = 5
 DELETE_EVERY = 199
 LIST_ROWS = 4096
-CHUNK_CELLS = 1 << 18
+CHUNK_CELLS = 1 << 17
+STEP_STATES = 1 << 18
 FLUSH_WORDS = 200_000
 NONE = 9  # a matrix cell outside the band
 
@@ -98,39 +99,42 @@ def one_edit_pairs(letters: np.ndarray, lengths: np.ndarray, lists: np.ndarray,
     lcp[1:][lists[1:] != lists[:-1]] = -1
     first = np.maximum.accumulate(np.where(lcp < 0, rows, 0))  # first row of the list
     padded = np.concatenate([letters, np.zeros((n, 3), letters.dtype)], axis=1)
-    node = word = a = b = e = np.empty(0, np.int64)
+    small = lambda x: np.asarray(x, np.int8)
+    states = [np.empty(0, np.int32)] * 2 + [small([])] * 3  # list prefix (a row that has it), word, three cells
     found = []
     for d in range(int(depths.min()), width):
         begin = np.flatnonzero(depths == d)
         if len(begin):  # lists whose shared key ends here: the exact prefix, and one edit to either side
-            node, word = np.concatenate([node, first[begin]]), np.concatenate([word, begin])
-            a = np.concatenate([a, np.full(len(begin), 1 if d else NONE)])
-            b = np.concatenate([b, np.zeros(len(begin), np.int64)])
-            e = np.concatenate([e, np.where(lengths[begin] > d, 1, NONE)])
-            order = np.argsort(node, kind="stable")
-            node, word, a, b, e = node[order], word[order], a[order], b[order], e[order]
-        if not len(node):
+            more = (first[begin], begin, np.full(len(begin), 1 if d else NONE), np.zeros(len(begin)), np.where(lengths[begin] > d, 1, NONE))
+            states = [np.concatenate([x, y.astype(x.dtype)]) for x, y in zip(states, more)]
+            order = np.argsort(states[0], kind="stable")
+            states = [x[order] for x in states]
+        if not len(states[0]):
             if (depths > d).any():
                 continue
             break
-        # one child row per distinct prefix of d + 1 codes
+        # one child row per distinct prefix of d + 1 codes, and its parent's states
         child = np.flatnonzero((lcp <= d) & (lengths > d) & (depths <= d))
         parent = np.maximum.accumulate(np.where(lcp < d, rows, 0))[child]
-        lo, hi = np.searchsorted(node, parent, "left"), np.searchsorted(node, parent, "right")
+        lo, hi = np.searchsorted(states[0], parent, "left"), np.searchsorted(states[0], parent, "right")
         child, lo, m = child[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
-        at = np.repeat(lo - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(int(m.sum()))
-        node, word = np.repeat(child, m), word[at]
-        code, size = letters[node, d], lengths[word]
-        left, mid, right = a[at], b[at], e[at]
-        a = np.where(size >= d, np.minimum(left + (padded[word, d - 1] != code) if d else left + NONE, mid + 1), NONE)
-        b = np.where(size >= d + 1, np.minimum(np.minimum(mid + (padded[word, d] != code), right + 1), a + 1), NONE)
-        e = np.where(size >= d + 2, np.minimum(right + (padded[word, d + 1] != code), b + 1), NONE)
-        gap = size - (d + 1)
-        last = np.where(gap == 0, b, np.where(gap == -1, a, np.where(gap == 1, e, NONE)))
-        hit = (lengths[node] == d + 1) & (last == 1)
-        found.append((word[hit], node[hit]))
-        alive = np.minimum(np.minimum(a, b), e) <= 1
-        node, word, a, b, e = node[alive], word[alive], a[alive], b[alive], e[alive]
+        kept = []
+        # so many states at a time: most end in this step
+        for part in np.split(np.arange(len(child)), np.flatnonzero(np.diff(np.cumsum(m) // STEP_STATES)) + 1):
+            size = m[part]
+            at = np.repeat(lo[part] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
+            node, word = np.repeat(child[part], size).astype(np.int32), states[1][at]
+            left, mid, right = (x[at] for x in states[2:])
+            code, gap = letters[node, d], lengths[word] - (d + 1)
+            a = np.where(gap >= -1, np.minimum(left + small(padded[word, d - 1] != code) if d else mid + small(NONE), mid + 1), NONE)
+            b = np.where(gap >= 0, np.minimum(np.minimum(mid + small(padded[word, d] != code), right + 1), a + 1), NONE)
+            e = np.where(gap >= 1, np.minimum(right + small(padded[word, d + 1] != code), b + 1), NONE)
+            last = np.where(gap == 0, b, np.where(gap == -1, a, np.where(gap == 1, e, NONE)))
+            hit = (lengths[node] == d + 1) & (last == 1)
+            found.append((word[hit], node[hit]))
+            alive = np.minimum(np.minimum(a, b), e) <= 1
+            kept.append([x[alive] for x in (node, word, small(a), small(b), small(e))])
+        states = [np.concatenate(x) for x in zip(*kept)]
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
