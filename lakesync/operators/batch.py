@@ -7,13 +7,22 @@ them meet in one task, i.e. ``partitions x n`` rows. With the reference's
 n = 100000 and tens of thousands of input partitions that single task would
 receive nearly the whole table.
 
-Here the n-th row's sort key is found first, with jobs that only aggregate
-(counts and approximate percentiles, all partial/map-side) over the sort-key
-columns; the batch is then one filter, ``key <= n-th key`` lexicographically,
-which Parquet pushes down to skip row groups. The number of rows merged in a
-single task is at most ``exact_rows`` sort-key values, whatever the table
-size. The answer is exact: approximate percentiles only choose which range to
-count next.
+Here the n-th row's sort key is found first, with jobs that only aggregate the
+sort-key columns; the batch is then one filter, ``key <= n-th key``
+lexicographically, which Parquet pushes down to skip row groups.
+
+* Scan 1 builds a KLL sketch of the order column (``kll_sketch_agg_*``; per task,
+  merged in two steps) beside exact counts. The sketch brackets the n-th value
+  within its rank error.
+* Scan 2 counts exactly: the rows below the bracket, and how often each sort key
+  in it occurs. The n-th key is read off those counts.
+
+The bracket holds at most ``exact_rows`` rows as long as the source has no more
+than about ``exact_rows / (2 * SKETCH_ERROR)`` (some 8e8); beyond that, one more
+scan of the bracket alone sketches it again, which shrinks it by the same factor.
+A value shared by more than ``exact_rows`` rows is settled by the next key column
+among those rows. The answer is exact: a sketch only chooses what to count, and a
+bracket that the counts refute is replaced by the side that holds the n-th row.
 
 Order is ``order_col ASC NULLS LAST`` (as PostgreSQL's ``ASC``, E7), then each
 key column ascending, so cuts through ties are deterministic (E6). With
@@ -24,69 +33,144 @@ value equals the n-th row's value is included.
 from __future__ import annotations
 
 import math
-from typing import Sequence
+from dataclasses import dataclass, replace
+from typing import NamedTuple, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
     DataType,
     DateType,
-    DecimalType,
+    IntegralType,
     NumericType,
     TimestampNTZType,
     TimestampType,
 )
 
-from lakesync.functions.windows import LTZ_TEXT_FORMAT, since, typed_lit, value_text
+from lakesync.functions.windows import since, typed_lit, value_text
+from lakesync.session import staged
 
 # Largest number of sort-key values one task may order exactly.
 DEFAULT_EXACT_ROWS = 2_000_000
-# percentile_approx accuracy: rank error <= rows / accuracy.
-SKETCH_ACCURACY = 10_000
-# Rows a sampled bracket may bring to the driver (types without percentile_approx).
+# Sketch size, and the rank error it keeps with 99 % confidence.
+SKETCH_K = 4096
+SKETCH_ERROR = 0.0013
+# Partial sketches merge in so many tasks before the last one.
+SKETCH_GROUPS = 64
+# Rows a sampled bracket may bring to the driver (types without a sketch).
 SAMPLE_ROWS = 20_000
-_MAX_ROUNDS = 64
 
 
-def _sketchable(dtype: DataType) -> bool:
-    if isinstance(dtype, (BooleanType, DecimalType)):
-        return False
-    return isinstance(dtype, (NumericType, DateType, TimestampType, TimestampNTZType))
-
-
-def _count_if(cond: Column) -> Column:
-    return F.sum(F.when(cond, 1).otherwise(0))
-
-
-def _exact_kth(sub: DataFrame, name: str, k: int) -> str:
-    """k-th smallest non-null value (1-based) by ordering one column."""
-    dtype = sub.schema[name].dataType
-    row = (sub.select(F.col(name).alias("v"))
-           .orderBy(F.col("v").asc())
-           .offset(k - 1).limit(1)
-           .select(value_text(F.col("v"), dtype).alias("t"))
-           .first())
-    return row["t"]
-
-
-def _bracket(sub: DataFrame, name: str, dtype: DataType, k: int, size: int):
-    """Two data values ``a <= b`` expected to enclose the k-th value."""
-    c = F.col(name)
-    if _sketchable(dtype):
-        p = k / size
-        d = 2.0 / SKETCH_ACCURACY
-        qs = [max(p - d, 0.0), min(p + d, 1.0)]
-        q = F.percentile_approx(c, qs, SKETCH_ACCURACY)
-        if isinstance(dtype, TimestampType):
-            q = F.transform(q, lambda x: F.date_format(x, LTZ_TEXT_FORMAT))
-        texts = sub.agg(q.cast("array<string>").alias("q")).first()["q"]
-        return texts[0], texts[1]
+def _sketch_number(c: Column, dtype: DataType) -> tuple[Column, str] | None:
+    """``c`` as a number of the same order, and the sketch family; ``None`` for
+    types without one."""
+    if isinstance(dtype, BooleanType):
+        return None
+    if isinstance(dtype, IntegralType):
+        return c.cast("bigint"), "bigint"
+    if isinstance(dtype, DateType):
+        return F.unix_date(c).cast("bigint"), "bigint"
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(c), "bigint"
+    if isinstance(dtype, TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", _EPOCH_NTZ(), c), "bigint"
+    if isinstance(dtype, NumericType):
+        return c.cast("double"), "double"
+    return None
+
+
+def _EPOCH_NTZ() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _from_number(v: Column, dtype: DataType) -> Column:
+    """The value of ``dtype`` at a sketch's number (a bound; it need not occur)."""
+    if isinstance(dtype, DateType):
+        return F.date_from_unix_date(v.cast("int"))
+    if isinstance(dtype, TimestampType):
+        return F.timestamp_micros(v)
+    if isinstance(dtype, TimestampNTZType):
+        return F.timestamp_add("MICROSECOND", v, _EPOCH_NTZ())
+    return v.cast(dtype)
+
+
+_FAMILY = {
+    "bigint": (F.kll_sketch_agg_bigint, F.kll_merge_agg_bigint, F.kll_sketch_get_quantile_bigint, F.kll_sketch_get_rank_bigint),
+    "double": (F.kll_sketch_agg_double, F.kll_merge_agg_double, F.kll_sketch_get_quantile_double, F.kll_sketch_get_rank_double),
+}
+
+
+@dataclass(frozen=True)
+class _Region:
+    """Rows of ``df`` with ``lo <= column <= hi`` (as typed text; ``None`` is
+    open); ``open_lo``/``open_hi`` leave the bound itself out."""
+
+    df: DataFrame
+    column: str
+    lo: str | None = None
+    hi: str | None = None
+    open_lo: bool = False
+    open_hi: bool = False
+
+    def rows(self) -> DataFrame:
+        c, dtype = F.col(self.column), self.df.schema[self.column].dataType
+        out = self.df.filter(c.isNotNull())
+        if self.lo is not None:
+            v = typed_lit(self.lo, dtype)
+            out = out.filter(c > v if self.open_lo else c >= v)
+        if self.hi is not None:
+            v = typed_lit(self.hi, dtype)
+            out = out.filter(c < v if self.open_hi else c <= v)
+        return out
+
+
+class _Sketch(NamedTuple):
+    """Rows, non-NULL values ``n``, a bracket (typed text; ``None`` if the k-th
+    row's value is NULL) and the share of the values that lies in it."""
+
+    rows: int
+    n: int
+    a: str | None = None
+    b: str | None = None
+    share: float = 1.0
+
+
+def _sketched(rows: DataFrame, name: str, k: int) -> _Sketch:
+    """One scan (two for types without a sketch) around the k-th value."""
+    dtype = rows.schema[name].dataType
+    number = _sketch_number(F.col(name), dtype)
+    if number is None:
+        row = rows.agg(F.count(F.lit(1)).alias("rows"), F.count(name).alias("n")).first()
+        return _Sketch(row["rows"], row["n"], *_sampled(rows.filter(F.col(name).isNotNull()), name, dtype, k, row["n"]))
+    value, family = number
+    agg, merge, quantile, rank = _FAMILY[family]
+    parts = rows.select(value.alias("v"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g")) \
+        .groupBy("g").agg(F.count(F.lit(1)).alias("rows"), F.count("v").alias("n"), agg("v", F.lit(SKETCH_K)).alias("s"))
+    whole = parts.agg(F.sum("rows").alias("rows"), F.sum("n").alias("n"), merge("s").alias("s")).first()
+    size, n = int(whole["rows"] or 0), int(whole["n"] or 0)
+    if k > n:
+        return _Sketch(size, n)
+    error = 2 * SKETCH_ERROR
+    lo, hi = max(k / n - error, 0.0), min(k / n + error, 1.0)
+    one = rows.sparkSession.createDataFrame([(bytearray(whole["s"]),)], "s binary")
+    ends = one.select(quantile("s", F.lit(lo)).alias("a"), quantile("s", F.lit(hi)).alias("b")).first()
+    a, b = F.lit(ends["a"]).cast(family), F.lit(ends["b"]).cast(family)
+    below = rank("s", F.lit(ends["a"] - 1).cast(family)) if family == "bigint" else F.lit(0.0)
+    row = one.select(value_text(_from_number(a, dtype), dtype).alias("a"), value_text(_from_number(b, dtype), dtype).alias("b"),
+                     (rank("s", b) - below).alias("share")).first()
+    return _Sketch(size, n, row["a"], row["b"], float(row["share"]) + error)
+
+
+def _sampled(rows: DataFrame, name: str, dtype: DataType, k: int, size: int) -> tuple[str | None, str | None]:
+    """A bracket of the k-th value from a bounded sample."""
+    if not size or k > size:
+        return None, None
     fraction = min(1.0, SAMPLE_ROWS / size)
-    sample = [r["t"] for r in sub.select(c.alias("v")).sample(False, fraction, seed=17)
+    sample = [r["t"] for r in rows.select(F.col(name).alias("v")).sample(False, fraction, seed=17)
               .orderBy("v").select(value_text(F.col("v"), dtype).alias("t")).collect()]
     if not sample:
-        return None
+        return None, None
     pos = k * fraction
     margin = 3.0 * math.sqrt(max(pos, 1.0)) + 2.0
     lo = min(max(int(pos - margin), 0), len(sample) - 1)
@@ -94,28 +178,61 @@ def _bracket(sub: DataFrame, name: str, dtype: DataType, k: int, size: int):
     return sample[lo], sample[hi]
 
 
-def _kth_value(sub: DataFrame, name: str, dtype: DataType, k: int, size: int, exact_rows: int) -> str:
-    """k-th smallest value of ``name`` among ``size`` non-null rows of ``sub``."""
-    c = F.col(name)
-    for _ in range(_MAX_ROUNDS):
-        if size <= exact_rows:
-            return _exact_kth(sub, name, k)
-        bracket = _bracket(sub, name, dtype, k, size)
-        if bracket is None:
-            return _exact_kth(sub, name, k)
-        a, b = typed_lit(bracket[0], dtype), typed_lit(bracket[1], dtype)
-        cnt = sub.agg(_count_if(c < a).alias("lt_a"), _count_if(c <= a).alias("le_a"),
-                      _count_if(c <= b).alias("le_b")).first()
-        lt_a, le_a, le_b = int(cnt["lt_a"]), int(cnt["le_a"]), int(cnt["le_b"])
-        if k <= lt_a:
-            sub, size = sub.filter(c < a), lt_a
-        elif k <= le_a:
-            return bracket[0]
-        elif k > le_b:
-            sub, k, size = sub.filter(c > b), k - le_b, size - le_b
+def _counted(region: _Region, a: str, b: str, cols: Sequence[str], k: int):
+    """One scan of ``region``: ``(below, inside, key)``, the rows below ``a``, the
+    rows in ``[a, b]``, and the values of ``cols`` (typed text) of the row at
+    ``k`` if that is one of them."""
+    df, c = region.df, F.col(region.column)
+    types = [df.schema[x].dataType for x in cols]
+    lo, hi = typed_lit(a, types[0]), typed_lit(b, types[0])
+    inside = c >= lo
+    keys = [F.when(inside, F.col(x)).alias(f"k{i}") for i, x in enumerate(cols)]
+    names = [f"k{i}" for i in range(len(cols))]
+    # a reliable copy of the counts: one row for each key in the bracket
+    counts = staged(region.rows().filter(c <= hi).select(inside.alias("inside"), *keys)
+                    .groupBy("inside", *names).agg(F.count(F.lit(1)).alias("n")), required=False)
+    total = {r["inside"]: int(r["n"]) for r in counts.groupBy("inside").agg(F.sum("n").alias("n")).collect()}
+    below, held = total.get(False, 0), total.get(True, 0)
+    if not below < k <= below + held:
+        return below, held, None
+    # at most exact_rows rows, or the distinct values of one column in the bracket
+    order = Window.orderBy(*[F.col(x).asc_nulls_last() for x in names])
+    running = counts.filter("inside").withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    row = running.filter(F.col("upto") >= k - below).orderBy(F.col("upto")).limit(1) \
+        .select(*[value_text(F.col(x), t).alias(x) for x, t in zip(names, types)], (F.col("upto") - F.col("n")).alias("before"), "n").first()
+    return below, held, ([row[x] for x in names], below + int(row["before"]), int(row["n"]))
+
+
+def _nth_value(df: DataFrame, cols: Sequence[str], k: int, exact_rows: int, sketch: _Sketch) -> tuple[list[str], int, int]:
+    """Sort-key values of the k-th row by ``cols[0]`` (not NULL there): all of
+    ``cols`` where their counts fit, else the first; with the number of rows
+    before that key and at it. ``sketch`` is that of the whole of ``df``."""
+    name = cols[0]
+    region, before = _Region(df, name), 0  # ``before``: rows below the region
+    while True:
+        a, b = sketch.a, sketch.b
+        if a is None:  # nothing was sampled: the region as it is
+            a, b = region.lo, region.hi
+        fits = sketch.share * sketch.n <= exact_rows
+        if not fits and a != b and (a, b) != (region.lo, region.hi):
+            # count the bracket's place, then sketch it alone
+            c, dtype = F.col(name), df.schema[name].dataType
+            row = region.rows().agg(F.count_if(c < typed_lit(a, dtype)).alias("below"),
+                                    F.count_if(c <= typed_lit(b, dtype)).alias("upto")).first()
+            below, upto, found = int(row["below"]), int(row["upto"]), None
+        else:
+            below, held, found = _counted(region, a, b, list(cols) if fits else [name], k - before)
+            upto = below + held
+        if found is not None:
+            values, rows_before, at = found
+            return values, before + rows_before, at
+        if k - before <= below:
+            region = replace(region, hi=a, open_hi=True)
+        elif k - before > upto:
+            region, before = replace(region, lo=b, open_lo=True), before + upto
         else:
-            sub, k, size = sub.filter((c > a) & (c <= b)), k - le_a, le_b - le_a
-    return _exact_kth(sub, name, k)
+            region, before = replace(region, lo=a, hi=b, open_lo=False, open_hi=False), before + below
+        sketch = _sketched(region.rows(), name, k - before)
 
 
 def _exact_tuple(region: DataFrame, cols: Sequence[str], k: int) -> list[str | None]:
@@ -135,36 +252,34 @@ def _exact_tuple(region: DataFrame, cols: Sequence[str], k: int) -> list[str | N
 
 
 def nth_sort_key(df: DataFrame, cols: Sequence[str], n: int,
-                 exact_rows: int = DEFAULT_EXACT_ROWS, total: int | None = None) -> list[str | None]:
-    """Sort key (as typed text, ``None`` = NULL) of the n-th row by ``cols``.
+                 exact_rows: int = DEFAULT_EXACT_ROWS) -> list[str | None] | None:
+    """Sort key (as typed text, ``None`` = NULL) of the n-th row by ``cols``;
+    ``None`` if ``df`` has no more than ``n`` rows.
 
     Ascending, NULLS LAST. May return a prefix of ``cols`` when the rows
     sharing that prefix all belong to the first ``n``. Regions of at most
-    ``exact_rows`` rows are ordered directly; larger ones are narrowed column
-    by column with counts.
+    ``exact_rows`` rows are ordered directly; larger ones are sketched and
+    counted, and a value too common for that is left to the next column.
     """
     region, k = df, n
-    size = df.count() if total is None else total
     key: list[str | None] = []
     for i, name in enumerate(cols):
-        if size <= exact_rows:
+        sketch = _sketched(region, name, k)
+        if i == 0 and sketch.rows <= n:
+            return None
+        if sketch.rows <= exact_rows:
             key.extend(_exact_tuple(region, cols[i:], k))
             break
-        c = F.col(name)
-        dtype = df.schema[name].dataType
-        nn = int(region.agg(F.count(c).alias("nn")).first()["nn"])
-        if k > nn:
+        if k > sketch.n:
             key.append(None)
-            region, k, size = region.filter(c.isNull()), k - nn, size - nn
+            region, k, at = region.filter(F.col(name).isNull()), k - sketch.n, sketch.rows - sketch.n
         else:
-            text = _kth_value(region.filter(c.isNotNull()), name, dtype, k, nn, exact_rows)
-            key.append(text)
-            if i == len(cols) - 1:
+            values, before, at = _nth_value(region, cols[i:], k, exact_rows, sketch)
+            key.extend(values)
+            if len(values) == len(cols) - i:
                 break
-            v = typed_lit(text, dtype)
-            cnt = region.agg(_count_if(c < v).alias("below"), _count_if(c == v).alias("at")).first()
-            region, k, size = region.filter(c == v), k - int(cnt["below"]), int(cnt["at"])
-        if k >= size:
+            region, k = region.filter(F.col(name) == typed_lit(values[0], df.schema[name].dataType)), k - before
+        if k >= at:
             break
     return key
 
@@ -183,6 +298,15 @@ def sort_key_at_most(df: DataFrame, cols: Sequence[str], key: Sequence[str | Non
     return pred if pred is not None else F.lit(True)
 
 
+def sort_key_after(df: DataFrame, cols: Sequence[str], key: Sequence[Column]) -> Column:
+    """Lexicographic ``(cols...) > key`` for non-NULL values (pushdown-friendly:
+    the bound on the first column stands alone, so it prunes row groups)."""
+    pred = F.lit(False)
+    for name, v in reversed(list(zip(cols, key))):
+        pred = (F.col(name) > v) | ((F.col(name) == v) & pred)
+    return (F.col(cols[0]) >= key[0]) & pred
+
+
 def first_rows(df: DataFrame, order_col: str, n: int, keys: Sequence[str] = (),
                with_ties: bool = False, exact_rows: int = DEFAULT_EXACT_ROWS) -> DataFrame:
     """The first ``n`` rows of ``df`` by ``order_col`` ASC NULLS LAST, then ``keys``.
@@ -194,10 +318,9 @@ def first_rows(df: DataFrame, order_col: str, n: int, keys: Sequence[str] = (),
     if n <= 0:
         return df.filter(F.lit(False))
     cols = [order_col] if with_ties else [order_col, *[k for k in keys if k != order_col]]
-    total = df.count()
-    if total <= n:
+    key = nth_sort_key(df, cols, n, exact_rows)
+    if key is None:
         return df
-    key = nth_sort_key(df, cols, n, exact_rows, total=total)
     return df.filter(sort_key_at_most(df, cols[:len(key)], key))
 
 

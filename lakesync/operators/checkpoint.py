@@ -10,6 +10,7 @@ back to the column's exact type, whatever the Python time zone.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,3 +76,19 @@ def latest_checkpoint(df: DataFrame, value_col: str, order_col: str | None = Non
     if order_col is None or order_col == value_col:
         return high_water_mark(df, value_col)
     return _collect(latest_value_frame(df, value_col, order_col), df, value_col)
+
+
+def latest_row(df: DataFrame, columns: Sequence[str]) -> list[Checkpoint] | None:
+    """The greatest row by ``columns`` in order, as one checkpoint per column:
+    the end of a key-set load. Rows with a NULL among them do not count; ``None``
+    if there are no others. One aggregate with a partial step."""
+    schema = {f.name: f.dataType for f in df.schema.fields}
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull()
+    top = df.filter(known).agg(F.max(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])).alias("m"))
+    row = top.select(*[x for i, c in enumerate(columns) for x in (
+        F.col(f"m.c{i}").alias(f"v{i}"), value_text(F.col(f"m.c{i}"), schema[c]).alias(f"t{i}"))]).first()
+    if row["t0"] is None:
+        return None
+    return [Checkpoint(c, schema[c], row[f"t{i}"], row[f"v{i}"]) for i, c in enumerate(columns)]

@@ -5,7 +5,7 @@
 *or* whose right id changed in the window.
 
 A disjunction of two ``IN`` subqueries cannot be one equi-join (as one
-``left_semi`` with ``OR`` it plans as a ``BroadcastNestedLoopJoin``). Two
+``left_semi`` with ``OR`` it plans as a ``BroadcastNestedLoopJoin``). Three
 plans are correct and the operator picks by measured size:
 
 * ``exists``: ``a.isin(ids) | b.isin(ids)`` -> two ``ExistenceJoin`` in one
@@ -14,6 +14,10 @@ plans are correct and the operator picks by measured size:
 * ``semi``: ``left_semi`` on each side, union, distinct. Each semi-join is a
   plain shuffle join that AQE can split when one id is hot (say a third of
   all link rows share one tag); used when the id sets are large.
+* ``bitmap``: integer id sets too large for that, as bitmaps: one bit an id,
+  4 KB for a range of 32768 ids. They are broadcast after their bytes are counted,
+  and test every link row exactly where it is scanned, so only touched pairs are
+  shuffled. ``auto`` takes it between the other two.
 
 Both then de-duplicate with a two-phase hash aggregate (map-side partial
 distinct before the shuffle).
@@ -23,13 +27,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from lakesync.functions.windows import Bound, between_half_open, previous_day
-from lakesync.sources.lake import staged
+from lakesync.session import staged
 
 # Upper bound on distinct ids broadcast per side (8-byte keys plus hash-table
 # overhead stay well below the default 8 GB broadcast limit).
 DEFAULT_BROADCAST_IDS = 2_000_000
+# Upper bound on the bytes of one side's broadcast bitmaps.
+DEFAULT_BITMAP_BYTES = 256 << 20
+BITMAP_BYTES = 4096
 
 
 def changed_ids(df: DataFrame, id_col: str, date_col: str, start: Bound = None, end: Bound = None,
@@ -47,6 +55,35 @@ def _broadcast_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("lakesync.relation.broadcastIds", str(DEFAULT_BROADCAST_IDS)))
 
 
+def _bitmaps_fit(tagged: DataFrame) -> bool:
+    """Whether both sides' ids are integers whose bitmaps keep the byte bound."""
+    if not isinstance(tagged.schema["id"].dataType, IntegralType):
+        return False
+    limit = int(tagged.sparkSession.conf.get("lakesync.relation.bitmapBytes", str(DEFAULT_BITMAP_BYTES)))
+    buckets = tagged.groupBy("side", F.bitmap_bucket_number(F.col("id").cast("bigint")).alias("b")).agg(F.lit(1).alias("one")) \
+        .groupBy("side").count().collect()
+    return all(r["count"] * BITMAP_BYTES <= limit for r in buckets)
+
+
+def _held(pairs: DataFrame, column: str, ids: DataFrame):
+    """Adds ``__in_<column>``: whether the column's id is one of ``ids`` (false
+    for NULL), by broadcast bitmaps; ids must be integers."""
+    big = lambda c: F.col(c).cast("bigint")
+    source = ids.columns[0]
+    bits = ids.filter(F.col(source).isNotNull()).groupBy(F.bitmap_bucket_number(big(source)).alias(f"__b_{column}")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(big(source))).alias(f"__bits_{column}"))
+    at = F.bitmap_bit_position(big(column))
+    byte = F.conv(F.hex(F.substring(F.col(f"__bits_{column}"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    found = F.coalesce(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1, F.lit(False))
+
+    def add(rows: DataFrame) -> DataFrame:
+        joined = rows.withColumn(f"__b_{column}", F.bitmap_bucket_number(big(column))).join(
+            F.broadcast(bits), f"__b_{column}", "left")
+        return joined.withColumn(f"__in_{column}", found).drop(f"__b_{column}", f"__bits_{column}")
+
+    return add
+
+
 def touched_pairs(rel: DataFrame, left_col: str, right_col: str, left_ids: DataFrame, right_ids: DataFrame,
                   strategy: str = "auto", out_left: str = "lead_id", out_right: str = "tag_id") -> DataFrame:
     """JOIN-1 + AGG-2: distinct pairs with ``left in left_ids OR right in right_ids``.
@@ -67,8 +104,10 @@ def touched_pairs(rel: DataFrame, left_col: str, right_col: str, left_ids: DataF
         left_ids = tagged.filter(F.col("side") == 0).select("id")
         right_ids = tagged.filter(F.col("side") == 1).select("id")
         limit = _broadcast_limit(rel.sparkSession)
-        small = sizes.get(0, 0) <= limit and sizes.get(1, 0) <= limit
-        strategy = "exists" if small else "semi"
+        if max(sizes.values(), default=0) <= limit:
+            strategy = "exists"
+        else:
+            strategy = "bitmap" if _bitmaps_fit(tagged) else "semi"
     pairs = rel.select(F.col(left_col).alias(out_left), F.col(right_col).alias(out_right))
     lid = left_ids.select(F.col(left_ids.columns[0]).alias("__lid"))
     rid = right_ids.select(F.col(right_ids.columns[0]).alias("__rid"))
@@ -76,6 +115,9 @@ def touched_pairs(rel: DataFrame, left_col: str, right_col: str, left_ids: DataF
         if checked:  # sizes counted above: broadcast both id sets
             lid, rid = F.broadcast(lid), F.broadcast(rid)
         touched = pairs.filter(F.col(out_left).isin(lid) | F.col(out_right).isin(rid))
+    elif strategy == "bitmap":
+        left, right = (_held(pairs, c, ids) for c, ids in ((out_left, lid), (out_right, rid)))
+        touched = right(left(pairs)).filter(F.col(f"__in_{out_left}") | F.col(f"__in_{out_right}")).select(out_left, out_right)
     elif strategy == "semi":
         by_left = pairs.join(lid, F.col(out_left) == F.col("__lid"), "left_semi")
         by_right = pairs.join(rid, F.col(out_right) == F.col("__rid"), "left_semi")

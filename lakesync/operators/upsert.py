@@ -1,24 +1,26 @@
 """Idempotent upsert (DML-1, DML-2; JOIN-2, JOIN-3) as DataFrame operators.
 
-``MERGE ... WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *`` on key
-equality is the new table
+``MERGE ... WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *`` on key equality is
 
-    (target rows whose key is not in the source)  UNION ALL  (source rows)
+    (target rows, each taking the values of the source row with its key)
+    UNION ALL (source rows whose key no target row has)
 
-which is one ``left_anti`` join and a union, with no sort and no per-row
-Python. Semantics kept from MERGE:
+Semantics kept from MERGE, whatever the source's size:
 
 * NULL keys never match: such target rows stay, such source rows are added.
+* A key that the target repeats has every copy updated; none is dropped.
 * Every target column must be present in the source; extra source columns
   are ignored; source values are cast to the target's types.
 * Two source rows with one key raise (MERGE raises when several source rows
   match one target row). ``on_duplicate="latest"`` keeps, per key, the row
-  with the greatest ``order_col`` instead.
+  with the greatest ``order_col`` instead, and an update then needs an
+  ``order_col`` at least as great as the target row's, so an older version that
+  comes late never replaces a newer one.
 * Rows absent from the source are never deleted (E14).
 
-Plan: the anti-join needs only the source's key columns. When the source
-is known to be small (a bounded batch) it is broadcast after its row count
-is checked, so the target is scanned and filtered without a shuffle;
+Plan: a left join of the target with the source, and an anti-join for the new
+rows. When the source is known to be small (a bounded batch) it is broadcast
+after its row count is checked, so the target is scanned and never shuffled;
 otherwise both sides shuffle on the key and AQE may split skewed keys.
 """
 
@@ -225,21 +227,42 @@ def prepare_source(target: DataFrame, source: DataFrame, keys: str | Sequence[st
     return incoming, summarize_keys(incoming, keys, per_key=False)
 
 
-def merge_prepared(target: DataFrame, incoming: DataFrame, keys: Sequence[str], n_keys: int,
-                   broadcast_keys: int | None = DEFAULT_BROADCAST_KEYS) -> DataFrame:
-    """``target`` anti-joined with the source keys, plus the source rows."""
+def updated_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], small: bool,
+                 order_col: str | None = None) -> DataFrame:
+    """The rows of ``target``, each with the values of the source row of its key
+    if there is one (and, with ``order_col``, if that is not older)."""
+    keys = _keys(keys)
+    source = incoming.filter(_non_null(keys)).select(*keys, F.struct(*target.columns).alias("__src"))
+    newer = F.col("__src").isNotNull()
+    if order_col:
+        newer = newer & F.coalesce(F.col(f"__src.`{order_col}`") >= F.col(order_col), F.col(order_col).isNull())
+    take = lambda rows: rows.select(*[
+        F.col(c) if c in keys else F.when(newer, F.col(f"__src.`{c}`")).otherwise(F.col(c)).alias(c) for c in target.columns])
+    if small:
+        return take(target.join(F.broadcast(source), on=keys, how="left"))
+    # NULL-key target rows can never match, so they bypass the exchange
+    # instead of all hashing to one reducer; AQE can split a hot key of the
+    # target, the left side.
+    return take(target.filter(_non_null(keys)).join(source, on=keys, how="left")).unionByName(target.filter(~_non_null(keys)))
+
+
+def unmatched_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], small: bool) -> DataFrame:
+    """The source rows whose key no target row has."""
     keys = _keys(keys)
-    source_keys = incoming.select(*keys).filter(_non_null(keys))
-    if broadcast_keys and n_keys <= broadcast_keys:
-        kept = target.join(F.broadcast(source_keys), on=keys, how="left_anti")
-        return kept.unionByName(incoming)
-    # Shuffle join: NULL-key target rows can never match, so they bypass the
-    # exchange instead of all hashing to one reducer. AQE can split a hot key
-    # on the target (left) side only, so the source keys are de-duplicated
-    # first (partial aggregate; the join reuses its partitioning).
-    kept = (target.filter(_non_null(keys)).join(source_keys.distinct(), on=keys, how="left_anti")
-            .unionByName(target.filter(~_non_null(keys))))
-    return kept.unionByName(incoming)
+    present = target.select(*keys).filter(_non_null(keys))
+    if not small:  # de-duplicated before the exchange: AQE cannot split the right side of an anti-join
+        return incoming.join(present.distinct(), on=keys, how="left_anti")
+    wanted = F.broadcast(incoming.select(*keys).filter(_non_null(keys)))
+    # at most as many keys as the source has
+    present = F.broadcast(present.join(wanted, on=keys, how="left_semi").distinct())
+    return incoming.join(present, on=keys, how="left_anti")
+
+
+def merge_prepared(target: DataFrame, incoming: DataFrame, keys: Sequence[str], n_keys: int,
+                   broadcast_keys: int | None = DEFAULT_BROADCAST_KEYS, order_col: str | None = None) -> DataFrame:
+    """The merged table from a prepared source (see :func:`prepare_source`)."""
+    small = bool(broadcast_keys) and n_keys <= broadcast_keys
+    return updated_rows(target, incoming, keys, small, order_col).unionByName(unmatched_rows(target, incoming, keys, small))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
@@ -247,7 +270,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
            broadcast_keys: int | None = DEFAULT_BROADCAST_KEYS) -> DataFrame:
     """New contents of ``target`` after merging ``source`` on ``keys``."""
     incoming, summary = prepare_source(target, source, keys, on_duplicate, order_col)
-    return merge_prepared(target, incoming, _keys(keys), summary.rows, broadcast_keys)
+    return merge_prepared(target, incoming, _keys(keys), summary.rows, broadcast_keys,
+                          version_col(target, on_duplicate, order_col))
+
+
+def version_col(target: DataFrame, on_duplicate: str, order_col: str | None) -> str | None:
+    """The column that versions rows, where the target has it too."""
+    return order_col if on_duplicate == "latest" and order_col in target.columns else None
 
 
 def range_filter(keys: Sequence[str], bounds: list[tuple[str, str]], schema) -> Column:
@@ -267,6 +296,42 @@ def key_range(source: DataFrame, keys: Sequence[str], schema) -> Column | None:
     return None if bounds is None else range_filter(keys, bounds, schema)
 
 
+FILE = "__file"
+
+
+def match_files(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], summary: KeySummary, small: bool,
+                order_col: str | None = None) -> DataFrame:
+    """Where the source's keys are: one row per key and target file, with
+    ``__changed`` (a merge would change a row of the key in that file).
+
+    ``target`` carries its files' names in ``__file``. A small source is
+    broadcast whole into one scan of the target's row groups in the source's key
+    range, and rows are compared there (NULL-safe; maps by their entries). With
+    a large source only keys and file names are shuffled and every file with a
+    matching key counts as changed. Either way the rows of one key and file are
+    reduced inside each task first.
+    """
+    keys = _keys(keys)
+    source = incoming.filter(_non_null(keys))
+    if summary.bounds is None:  # only NULL keys: nothing matches
+        return target.limit(0).select(*keys, FILE, F.lit(False).alias(CHANGED))
+    found = target.filter(_non_null(keys) & range_filter(keys, summary.bounds, target.schema))
+    if small:
+        types = {f.name: f.dataType for f in target.schema.fields}
+        rest = [c for c in target.columns if c not in keys and c != FILE]
+        source = source.select(*keys, F.struct(F.lit(True).alias("__hit"), *rest).alias("__src"))
+        same = F.lit(True)
+        for c in rest:
+            same = same & comparable(F.col(f"__src.`{c}`"), types[c]).eqNullSafe(comparable(F.col(c), types[c]))
+        changed = ~same
+        if order_col:
+            changed = changed & F.coalesce(F.col(f"__src.`{order_col}`") >= F.col(order_col), F.col(order_col).isNull())
+        hits = found.join(F.broadcast(source), on=keys).select(*keys, FILE, changed.alias(CHANGED))
+    else:
+        hits = found.select(*keys, FILE).join(source.select(*keys), on=keys, how="left_semi").withColumn(CHANGED, F.lit(True))
+    return hits.groupBy(*keys, FILE).agg(F.bool_or(CHANGED).alias(CHANGED))
+
+
 MATCHED = "__matched"
 CHANGED = "__changed"
 

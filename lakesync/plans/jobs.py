@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 
 from lakesync.functions.windows import Bound, lagged_range, since
 from lakesync.operators import maintenance
-from lakesync.operators.batch import DEFAULT_EXACT_ROWS, bounded_batch
+from lakesync.operators.batch import DEFAULT_EXACT_ROWS, bounded_batch, sort_key_after
 from lakesync.operators.checkpoint import Checkpoint
 from lakesync.operators.relation import relation_delta
 from lakesync.operators.upsert import assert_unique_keys
-from lakesync.sources.lake import LakeTable, TableNotFound, staged, table_path
+from lakesync.session import staged
+from lakesync.sources.lake import LakeTable, TableNotFound, table_path
 
 
 @dataclass
@@ -37,7 +38,7 @@ class RunReport:
 def incremental_load(source: DataFrame, target, column: str, keys: Sequence[str] = ("id",),
                      order_col: str | None = None, max_rows: int = 100_000,
                      with_ties: bool = False, exact_rows: int = DEFAULT_EXACT_ROWS,
-                     batch_strategy: str = "filter") -> RunReport:
+                     batch_strategy: str = "filter", resume: str = "value") -> RunReport:
     """JOB-1: checkpoint from the target (TOP-1), the next bounded batch of
     the source from that checkpoint inclusive (FLT-2, TOP-2), then upsert
     into the target (DML-1) or, when the target does not exist yet, create
@@ -51,27 +52,45 @@ def incremental_load(source: DataFrame, target, column: str, keys: Sequence[str]
     ``max_rows`` beyond it, so every run advances however many rows share one
     value, and rows that a batch left out of a tie come with the next run. It
     is materialised under the shared checkpoint folder once, so the source is
-    not re-read by the merge. ``details["advanced"]`` tells whether it holds
-    rows beyond the checkpoint. A first load whose batch repeats a key raises,
+    not re-read by the merge; ``details["batch"]`` is that copy and
+    ``details["advanced"]`` tells whether it holds rows beyond the checkpoint. A first load whose batch repeats a key raises,
     as a merge does.
+    ``resume="keys"`` is a key-set cursor: the checkpoint is the greatest
+    ``(column, *keys)`` of the target, and the batch is the first ``max_rows``
+    source rows beyond it, so a value that fills many batches is read once in
+    all instead of once a run. In exchange, a row that arrives late with the
+    value of the checkpoint and a smaller key is not seen (with the default it
+    is re-read, E1), and keys must not be NULL.
     ``batch_strategy="sorted"`` lets a JDBC catalog source run the
     ``ORDER BY ... LIMIT`` itself (see :func:`bounded_batch`).
     """
+    if resume not in ("value", "keys"):
+        raise ValueError(f"unknown resume {resume!r}")
     exists = target.exists()
-    cp = target.latest_value(column, order_col) if exists else None
-    beyond = F.lit(True) if cp is None else F.col(column) > cp.lit()
+    cp, again = None, None
+    if not exists:
+        beyond = F.lit(True)
+    elif resume == "keys":
+        order = [column, *[k for k in keys if k != column]]
+        cursor = target.latest_row(order)
+        cp = cursor[0] if cursor else None
+        beyond = sort_key_after(source, order, [c.lit() for c in cursor]) if cursor else F.lit(True)
+    else:
+        cp = target.latest_value(column, order_col)
+        beyond = F.lit(True) if cp is None else F.col(column) > cp.lit()
+        again = None if cp is None else F.col(column) == cp.lit()
     batch = bounded_batch(source.filter(beyond), column, max_rows, keys=keys, with_ties=with_ties,
                           exact_rows=exact_rows, strategy=batch_strategy)
-    if cp is not None:
-        batch = source.filter(F.col(column) == cp.lit()).unionByName(batch)
+    if again is not None:
+        batch = source.filter(again).unionByName(batch)
     batch = staged(batch)
     advanced = not batch.filter(beyond).isEmpty()
     if exists:
         how = target.merge(batch, list(keys))
-        return RunReport("merge", cp, details={"write": how, "advanced": advanced})
+        return RunReport("merge", cp, details={"write": how, "advanced": advanced, "batch": batch})
     assert_unique_keys(batch, list(keys))
     target.append(batch)
-    return RunReport("append", cp, details={"advanced": advanced})
+    return RunReport("append", cp, details={"advanced": advanced, "batch": batch})
 
 
 def drain(load) -> int:
@@ -151,13 +170,16 @@ def relation_to_staging(lead: DataFrame, tag: DataFrame, rel: DataFrame, staging
     return RunReport("replace")
 
 
-def maintain(table: LakeTable, retention_hours: float, as_of: _dt.datetime | None = None,
+def maintain(table, retention_hours: float, as_of: _dt.datetime | None = None,
              target_file_bytes: int = maintenance.DEFAULT_TARGET_FILE_BYTES,
              retention_check: bool = False) -> RunReport:
     """JOB-10: compact (MNT-1), then vacuum superseded snapshots (MNT-2).
 
     As in the reference, the retention check is off, so any
     ``retention_hours >= 0`` is honoured."""
+    if not isinstance(table, LakeTable):  # a sink with maintenance of its own
+        table.compact()
+        return RunReport("maintain", details={"removed": table.vacuum(retention_hours)})
     plan = maintenance.compact(table, target_file_bytes)
     removed = maintenance.vacuum(table, retention_hours, as_of, retention_check=retention_check)
     return RunReport("maintain", details={"compaction": plan, "removed": removed})

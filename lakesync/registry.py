@@ -16,7 +16,9 @@ return the table read back.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import tempfile
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +31,8 @@ from lakesync.operators.checkpoint import latest_checkpoint, latest_value_frame,
 from lakesync.operators.relation import relation_delta
 from lakesync.operators.upsert import upsert
 from lakesync.plans import jobs
-from lakesync.session import ensure_checkpoint_dir, scratch_path
+from lakesync.session import checkpoint_dir, ensure_checkpoint_dir, scratch_path
+from lakesync.sources.catalog import CatalogTable, create_namespace
 from lakesync.sources.lake import LakeTable
 
 # Fixed scenario parameters (dates inside the driver tables' ranges).
@@ -58,9 +61,13 @@ PAIR_COLS = ["lead_id", "tag_id"]
 
 
 def _ready(spark: SparkSession) -> None:
-    """Use the session's shared checkpoint folder; only a session without one
-    (a local test run) gets a temporary folder."""
-    ensure_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="lakesync-ckpt-"))
+    """Use the session's shared checkpoint folder. Only a single-machine session
+    without one (a local test run) gets a temporary folder; a cluster must name
+    its shared folder."""
+    if re.match(r"local(\[|$)", spark.sparkContext.master):
+        ensure_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="lakesync-ckpt-"))
+    else:
+        checkpoint_dir(spark)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -196,6 +203,36 @@ def q_merge_pairs(spark, sf_dir):
     return upsert(target, _relation(spark, sf_dir), PAIR_COLS).select(*PAIR_COLS)
 
 
+def q_upsert_repeated_target_keys(spark, sf_dir):
+    """The target repeats its key: every copy is updated, as MERGE does."""
+    target = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    orders = _t(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= F.lit(ORDERS_SOURCE_FROM).cast("timestamp_ntz"))
+    source = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0).alias("l_linenumber"),
+                           F.col("o_totalprice").alias("l_quantity"), F.col("o_orderdate").alias("l_shipdate"))
+    table = _scratch(spark, "repeated")
+    table.append(target)
+    table.merge(source, "l_orderkey")
+    table.merge(source, "l_orderkey", broadcast_keys=None)  # the shuffle path: the same result
+    return table.read().select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+
+
+def q_merge_late_versions(spark, sf_dir):
+    """Newer versions first, then the older rows again: the newer ones stay."""
+    orders = _t(spark, sf_dir, "orders").select(*ORDER_COLS)
+    late = F.col("o_orderdate") >= F.lit(ORDERS_REVISED_FROM).cast("timestamp_ntz")
+    newer = orders.filter(late).withColumn("o_totalprice", -F.col("o_totalprice")) \
+        .withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"))
+    table = _scratch(spark, "versions")
+    table.append(newer)
+    for _ in range(2):
+        table.merge(orders, "o_orderkey", on_duplicate="latest", order_col="o_orderdate")
+    return table.read().select(*ORDER_COLS)
+
+
+def q_relation_delta_bitmap(spark, sf_dir):
+    return _relation(spark, sf_dir, strategy="bitmap").select(*PAIR_COLS)
+
+
 # ---------------------------------------------------------------- lake I/O
 def q_merge_schema_append(spark, sf_dir):
     events = _t(spark, sf_dir, "events")
@@ -209,7 +246,7 @@ def q_merge_schema_overwrite(spark, sf_dir):
     events = _t(spark, sf_dir, "events")
     table = _scratch(spark, "overwrite")
     table.append(_events_before(events).select("event_id", "value"))
-    table.overwrite(_events_from(events).select("event_id", "ts"), merge_schema=True)
+    table.overwrite(events.select("event_id", "ts"), merge_schema=True)
     return table.read().select("event_id", "value", "ts")
 
 
@@ -234,7 +271,7 @@ def q_truncate_load(spark, sf_dir):
     events = _t(spark, sf_dir, "events")
     mart = _scratch(spark, "mart")
     mart.replace(_events_before(events).select(*EVENT_COLS))
-    mart.truncate_load(_events_from(events).select("event_id", "ts", "value"))
+    mart.truncate_load(events.select("event_id", "ts", "value"))
     return mart.read().select(*EVENT_COLS)
 
 
@@ -251,11 +288,20 @@ def q_compact_preserves(spark, sf_dir):
 
 
 def q_vacuum_plan(spark, sf_dir):
-    table = _small_files_table(spark, sf_dir, "vacuum")
-    maintenance.compact(table)
+    """Every order row that lies in the table's files, with whether its file is
+    removable: replaced files and those of a write that was never committed are."""
+    orders = _t(spark, sf_dir, "orders").select(*ORDER_COLS)
+    table = _scratch(spark, "vacuum")
+    first = F.lit(ORDERS_SOURCE_FROM).cast("timestamp_ntz")
+    table.append(orders.filter(F.col("o_orderdate") < first))
+    table.append(orders.filter(F.col("o_orderdate") >= first))
+    table.merge(orders.filter(F.col("o_orderdate") >= first).withColumn("o_totalprice", -F.col("o_totalprice")), "o_orderkey")
+    table.write_segment(orders.filter(F.col("o_orderdate") < F.lit(ORDERS_TARGET_BEFORE).cast("timestamp_ntz")))
     as_of = _dt.datetime.now(_dt.timezone.utc) + _dt.timedelta(hours=2)
-    return maintenance.vacuum_plan(table, retention_hours=1, as_of=as_of,
-                                   retention_check=False).select("snapshot", "removable", "length")
+    plan = maintenance.vacuum_plan(table, retention_hours=1, as_of=as_of, retention_check=False)
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(table.path)
+    rows = rows.select("o_orderkey", "o_totalprice", F.col("_metadata.file_name").alias("file"))
+    return rows.join(plan.select("file", "removable"), "file").select("o_orderkey", "o_totalprice", "removable")
 
 
 # ---------------------------------------------------------------- jobs
@@ -272,6 +318,33 @@ def q_job_incremental_bronze(spark, sf_dir):
     return target.read().select(*EVENT_COLS)
 
 
+def q_job_incremental_keyset(spark, sf_dir):
+    """JOB-1 over a column that many rows share (the day), by key-set cursor."""
+    events = _t(spark, sf_dir, "events").select(*EVENT_COLS).withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    target = _scratch(spark, "keyset")
+    rows = _batch_rows(events)
+    jobs.drain(lambda: jobs.incremental_load(events, target, "ts", keys=["event_id"], max_rows=rows, resume="keys"))
+    return target.read().select(*EVENT_COLS)
+
+
+def q_job_truncate_load_schema(spark, sf_dir):
+    """JOB-7: the lake table into ``<mart>.events`` of the catalog; a table of the
+    same name in another schema stays as it is, and so does the definition."""
+    events = _t(spark, sf_dir, "events")
+    lake = _scratch(spark, "lake")
+    lake.replace(events.select("event_id", "ts", "value"))
+    run = uuid.uuid4().hex[:12]
+    names = [f"lakesync_{kind}_{run}" for kind in ("mart", "other")]
+    for name in names:
+        create_namespace(spark, name, scratch_path(spark, name))
+        spark.sql(f"CREATE TABLE {name}.events (event_id BIGINT COMMENT 'id', value DOUBLE, ts TIMESTAMP_NTZ, note STRING) USING parquet")
+        CatalogTable(spark, "events", schema=name).append(_events_before(events).select("event_id", "ts"))
+    mart, other = (CatalogTable(spark, "events", schema=name) for name in names)
+    jobs.truncate_load(lake, mart)
+    tagged = lambda t, tag: t.read().select(F.lit(tag).alias("mart"), "event_id", "value", "ts", "note")
+    return tagged(mart, "loaded").unionByName(tagged(other, "other"))
+
+
 def q_job_daily_bronze(spark, sf_dir):
     events = _t(spark, sf_dir, "events")
     root = scratch_path(spark, "lake")
@@ -371,6 +444,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "relation_delta_exists": q_relation_delta_exists,
     "upsert_by_key": q_upsert_by_key,
     "upsert_keep_latest": q_upsert_keep_latest,
+    "upsert_repeated_target_keys": q_upsert_repeated_target_keys,
+    "merge_late_versions": q_merge_late_versions,
+    "relation_delta_bitmap": q_relation_delta_bitmap,
     "merge_pairs": q_merge_pairs,
     "merge_schema_append": q_merge_schema_append,
     "merge_schema_overwrite": q_merge_schema_overwrite,
@@ -380,6 +456,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compact_preserves": q_compact_preserves,
     "vacuum_plan": q_vacuum_plan,
     "job_incremental_bronze": q_job_incremental_bronze,
+    "job_incremental_keyset": q_job_incremental_keyset,
+    "job_truncate_load_schema": q_job_truncate_load_schema,
     "job_daily_bronze": q_job_daily_bronze,
     "job_relation_to_lake": q_job_relation_to_lake,
     "job_full_refresh": q_job_full_refresh,
@@ -453,13 +531,34 @@ ORACLE_SQL: dict[str, str] = {
                             f"where ts < timestamp '{EVENTS_LOADED_BEFORE}' "
                             f"union all select event_id, ts, value from events "
                             f"where ts >= timestamp '{EVENTS_LOADED_BEFORE}'"),
-    "merge_schema_overwrite": (f"select event_id, cast(null as double) as value, ts from events "
-                               f"where ts >= timestamp '{EVENTS_LOADED_BEFORE}'"),
+    "merge_schema_overwrite": "select event_id, cast(null as double) as value, ts from events",
+    "relation_delta_bitmap": _RD,
+    "upsert_repeated_target_keys": (
+        f"with s as (select o_orderkey, o_totalprice, o_orderdate from orders where o_orderdate >= timestamp '{ORDERS_SOURCE_FROM}') "
+        f"select l_orderkey, case when o_orderkey is null then l_linenumber else 0 end as l_linenumber, "
+        f"coalesce(o_totalprice, l_quantity) as l_quantity, coalesce(o_orderdate, l_shipdate) as l_shipdate "
+        f"from lineitem left join s on l_orderkey = o_orderkey "
+        f"union all select o_orderkey, 0, o_totalprice, o_orderdate from s "
+        f"where not exists (select 1 from lineitem where l_orderkey = o_orderkey)"),
+    "merge_late_versions": (
+        f"select o_orderkey, o_custkey, o_orderstatus, case when o_orderdate >= timestamp '{ORDERS_REVISED_FROM}' "
+        f"then -o_totalprice else o_totalprice end as o_totalprice, case when o_orderdate >= timestamp '{ORDERS_REVISED_FROM}' "
+        f"then o_orderdate + interval '1' day else o_orderdate end as o_orderdate, o_orderpriority from orders"),
+    "vacuum_plan": (
+        f"select o_orderkey, case when o_orderdate >= timestamp '{ORDERS_SOURCE_FROM}' then -o_totalprice else o_totalprice end "
+        f"as o_totalprice, false as removable from orders "
+        f"union all select o_orderkey, o_totalprice, true from orders where o_orderdate >= timestamp '{ORDERS_SOURCE_FROM}' "
+        f"union all select o_orderkey, o_totalprice, true from orders where o_orderdate < timestamp '{ORDERS_TARGET_BEFORE}'"),
+    "job_incremental_keyset": ("select event_id, cast(date_trunc('day', ts) as timestamp) as ts, user_id, event_type, value, props "
+                               "from events"),
+    "job_truncate_load_schema": (
+        f"select 'loaded' as mart, event_id, value, ts, cast(null as varchar) as note from events "
+        f"union all select 'other', event_id, cast(null as double), ts, cast(null as varchar) from events "
+        f"where ts < timestamp '{EVENTS_LOADED_BEFORE}'"),
     "relation_first_load": _RD,
     "staging_replace": _INC,
-    "truncate_load": (f"select event_id, ts, cast(null as bigint) as user_id, cast(null as varchar) as event_type, "
-                      f"value, cast(null as varchar) as props from events "
-                      f"where ts >= timestamp '{EVENTS_LOADED_BEFORE}'"),
+    "truncate_load": ("select event_id, ts, cast(null as bigint) as user_id, cast(null as varchar) as event_type, "
+                      "value, cast(null as varchar) as props from events"),
     "compact_preserves": f"select {_OR} from orders",
     "job_incremental_bronze": f"select {_EV} from events",
     "job_daily_bronze": f"select {_EV} from events",

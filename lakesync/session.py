@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Confs every session used with this library should carry. Timestamps are
 # compared as typed literals, so the session time zone is pinned (E16).
@@ -67,3 +67,19 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/lakesync/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, required: bool = True) -> DataFrame:
+    """Materialise ``df`` under the shared checkpoint folder and cut its lineage.
+
+    A reliable checkpoint survives executor loss (unlike ``localCheckpoint``).
+    With ``required=False`` a session without ``spark.checkpoint.dir`` gets
+    ``df`` back unchanged (it is then recomputed where it is used).
+    """
+    try:
+        checkpoint_dir(df.sparkSession)
+    except RuntimeError:
+        if required:
+            raise
+        return df
+    return df.checkpoint(eager=True)

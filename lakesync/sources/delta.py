@@ -12,6 +12,10 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from lakesync.operators import checkpoint as _cp
+from lakesync.operators.upsert import prepare_source, version_col
+from lakesync.sources.lake import TableNotFound
+
+RETENTION_CHECK = "spark.databricks.delta.retentionDurationCheck.enabled"
 
 try:  # pragma: no cover - depends on optional package
     from delta.tables import DeltaTable
@@ -37,6 +41,8 @@ class DeltaTableSink:  # pragma: no cover - needs delta-spark
         return DeltaTable.isDeltaTable(self.spark, self.path)
 
     def read(self) -> DataFrame:
+        if not self.exists():
+            raise TableNotFound(self.path)
         return self.spark.read.format("delta").load(self.path)
 
     def read_or_none(self) -> DataFrame | None:
@@ -65,11 +71,19 @@ class DeltaTableSink:  # pragma: no cover - needs delta-spark
     def truncate_load(self, df: DataFrame) -> None:
         df.write.format("delta").mode("overwrite").save(self.path)
 
-    def merge(self, source: DataFrame, keys: Sequence[str] | str, **_) -> None:
+    def merge(self, source: DataFrame, keys: Sequence[str] | str, on_duplicate: str = "error",
+              order_col: str | None = None, **_) -> str:
+        """As :meth:`LakeTable.merge`: repeated source keys raise or give way to
+        the latest, and an older version never replaces a newer one."""
         keys = [keys] if isinstance(keys, str) else list(keys)
+        target = self.read()
+        source, _summary = prepare_source(target, source, keys, on_duplicate, order_col)
+        version = version_col(target, on_duplicate, order_col)
+        newer = f"target.{version} IS NULL OR source.{version} >= target.{version}" if version else None
         (DeltaTable.forPath(self.spark, self.path).alias("target")
          .merge(source.alias("source"), _cond(keys))
-         .whenMatchedUpdateAll().whenNotMatchedInsertAll().execute())
+         .whenMatchedUpdateAll(condition=newer).whenNotMatchedInsertAll().execute())
+        return "merge"
 
     def insert_missing(self, source: DataFrame, keys: Sequence[str] | str) -> None:
         keys = [keys] if isinstance(keys, str) else list(keys)
@@ -79,5 +93,7 @@ class DeltaTableSink:  # pragma: no cover - needs delta-spark
     def compact(self) -> None:
         DeltaTable.forPath(self.spark, self.path).optimize().executeCompaction()
 
-    def vacuum(self, retention_hours: float) -> None:
+    def vacuum(self, retention_hours: float, retention_check: bool = False) -> None:
+        """The reference's maintenance job switches Delta's retention check off."""
+        self.spark.conf.set(RETENTION_CHECK, str(retention_check).lower())
         DeltaTable.forPath(self.spark, self.path).vacuum(retention_hours)

@@ -4,6 +4,7 @@ listings are Spark jobs (see ``operators.maintenance``)."""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -30,30 +31,38 @@ def child_dirs(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
     return out
 
 
-def size_and_files(spark: SparkSession, path: str, small_below: int = 0) -> tuple[int, int, int]:
-    """Total bytes, number of data files and number of data files smaller
-    than ``small_below`` bytes (names starting ``_``/``.`` excluded)."""
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path``."""
     fs, p = _fs(spark, path)
-    total, count, small = 0, 0, 0
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if name.startswith("_") or name.startswith("."):
-            continue
-        size = int(st.getLen())
-        total += size
-        count += 1
-        small += size < small_below
-    return total, count, small
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()] if fs.exists(p) else []
 
 
-def delete(spark: SparkSession, path: str) -> bool:
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create ``path`` with ``text``; ``False`` if it exists already."""
     fs, p = _fs(spark, path)
-    return bool(fs.delete(p, True))
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError:
+        if fs.exists(p):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty marker file (names starting ``_`` are not data)."""
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
     fs, p = _fs(spark, path)
-    fs.create(p, True).close()
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))

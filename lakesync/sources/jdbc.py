@@ -28,14 +28,26 @@ Scale notes:
 
 from __future__ import annotations
 
+import math
 import re
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    FloatType,
+    NumericType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from lakesync.functions.windows import value_text
 from lakesync.operators import checkpoint as _cp
-from lakesync.sources.lake import staged
+from lakesync.session import staged
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_$]*$")
 # Most concurrent connections one write opens to the database.
@@ -68,6 +80,37 @@ def register_catalog(spark: SparkSession, name: str, url: str, properties: dict
     return name
 
 
+_NUMBERS = (NumericType, BooleanType)
+
+
+def sql_literal(text: str, dtype: DataType) -> str:
+    """``text`` (as a :class:`Checkpoint` holds it) as a literal of ``dtype`` in
+    standard SQL: numbers and booleans bare, dates and timestamps typed, anything
+    else quoted."""
+    if isinstance(dtype, (FloatType, DoubleType)) and not math.isfinite(float(text)):
+        return f"CAST('{text}' AS DOUBLE PRECISION)"
+    if isinstance(dtype, _NUMBERS):
+        return text.upper() if isinstance(dtype, BooleanType) else text
+    quoted = "'" + text.replace("'", "''") + "'"
+    if isinstance(dtype, DateType):
+        return f"DATE {quoted}"
+    if isinstance(dtype, TimestampNTZType):
+        return f"TIMESTAMP {quoted}"
+    if isinstance(dtype, TimestampType):  # the text names its UTC offset
+        return f"TIMESTAMP WITH TIME ZONE {quoted}"
+    return quoted
+
+
+def bounded_query(table: str, column: str, max_rows: int, keys: Sequence[str] = (), lower: str | None = None) -> str:
+    """SRC-4 as the database runs it: the first ``max_rows`` rows from ``lower``
+    (a literal, inclusive, E1) in checkpoint order. ``ASC`` puts NULLs last in
+    PostgreSQL (E7); names are quoted, so they must be spelled as in the database."""
+    name = lambda n: ".".join(f'"{part}"' for part in _ident(n).split("."))
+    where = "" if lower is None else f" WHERE {name(column)} >= {lower}"
+    order = ", ".join(f"{name(c)} ASC" for c in [column, *[k for k in keys if k != column]])
+    return f"SELECT * FROM {name(table)}{where} ORDER BY {order} LIMIT {int(max_rows)}"
+
+
 class JdbcTable:
     """``[schema.]table`` in the database at ``url``.
 
@@ -117,12 +160,20 @@ class JdbcTable:
                               upperBound=upper, numPartitions=num_partitions)
         return self._read(self.name)
 
+    def bounded_extract(self, column: str, max_rows: int, keys: Sequence[str] = (), checkpoint=None) -> DataFrame:
+        """SRC-4/TOP-2: the bounded batch computed by the database; only its rows
+        cross the connection (:func:`bounded_query`)."""
+        lower = None if checkpoint is None else sql_literal(checkpoint.text, checkpoint.dtype)
+        return self.derived(bounded_query(self.name, column, max_rows, keys, lower))
+
     def exists(self) -> bool:
-        try:
-            self._read(self.name).schema
-            return True
-        except Exception:  # the driver reports a missing table as a SQL error
-            return False
+        """Whether the database lists the table. It is asked for the name, so any
+        error (no connection, no rights) propagates and never reads as "missing"."""
+        schema, _, table = self.name.rpartition(".")
+        where = f"lower(table_schema) = '{schema.lower()}'" if schema else "table_schema = CURRENT_SCHEMA"
+        listed = self.derived("SELECT table_name FROM information_schema.tables "
+                              f"WHERE lower(table_name) = '{table.lower()}' AND {where}")
+        return listed.first() is not None
 
     def read_or_none(self) -> DataFrame | None:
         return self.read() if self.exists() else None

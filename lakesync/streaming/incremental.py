@@ -47,7 +47,8 @@ def stream_incremental_load(spark: SparkSession, source_dir: str, schema: Struct
 
     ``order_col`` (optional) keeps the latest row per key when one
     micro-batch, the first included, holds several versions of a row; without
-    it such a batch raises. Across micro-batches the later one wins. The streaming checkpoint
+    it such a batch raises. Across micro-batches, too, an older version never
+    replaces a newer one; without ``order_col`` the later batch wins. The streaming checkpoint
     defaults to ``<target>/_stream_checkpoint`` on the target's shared
     storage. Returns the (finished, when ``wait``) ``StreamingQuery``.
     """

@@ -97,6 +97,7 @@ def test_nth_sort_key_prefix_when_tie_region_fully_taken(spark):
     df = spark.createDataFrame([(i, i // 10) for i in range(100)], "id long, v long")
     assert nth_sort_key(df, ["v", "id"], 20, exact_rows=5) == ["1"]
     assert nth_sort_key(df, ["v", "id"], 25, exact_rows=5) == ["2", "24"]
+    assert nth_sort_key(df, ["v", "id"], 100) is None
 
 
 def test_final_filter_is_pushed_to_parquet(spark):

@@ -99,3 +99,46 @@ def test_sorted_batch_strategy_is_a_plain_top_n(spark):
     got = bounded_batch(df, "v", 5, keys=["id"], strategy="sorted")
     assert "TakeOrderedAndProject" in got._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["id"] for r in got.collect()) == [0, 4, 8, 12, 16]
+
+
+def test_bounded_extract_is_one_query_with_typed_literals(spark, recorded):
+    import datetime as dt
+
+    from pyspark.sql.types import (BooleanType, DateType, DecimalType, DoubleType, IntegerType, StringType, TimestampNTZType,
+                                   TimestampType)
+
+    from lakesync.operators.checkpoint import Checkpoint
+    from lakesync.sources.jdbc import bounded_query, sql_literal
+
+    assert sql_literal("0", IntegerType()) == "0"
+    assert sql_literal("-12.50", DecimalType(8, 2)) == "-12.50"
+    assert sql_literal("1.5E10", DoubleType()) == "1.5E10"
+    assert sql_literal("NaN", DoubleType()) == "CAST('NaN' AS DOUBLE PRECISION)"
+    assert sql_literal("true", BooleanType()) == "TRUE"
+    assert sql_literal("2024-01-05", DateType()) == "DATE '2024-01-05'"
+    assert sql_literal("2024-01-05 01:02:03.000004", TimestampNTZType()) == "TIMESTAMP '2024-01-05 01:02:03.000004'"
+    assert sql_literal("2024-01-05T01:02:03.000004+02:00", TimestampType()) == "TIMESTAMP WITH TIME ZONE '2024-01-05T01:02:03.000004+02:00'"
+    assert sql_literal("o'clock", StringType()) == "'o''clock'"
+    assert bounded_query("s.t", "id", 10, ["id"]) == 'SELECT * FROM "s"."t" ORDER BY "id" ASC LIMIT 10'
+    t = JdbcTable(spark, "jdbc:x://h/db", "events", schema="public")
+    t.bounded_extract("write_date", 100, ["id"], Checkpoint("write_date", TimestampNTZType(), "2024-01-05 00:00:00", dt.datetime(2024, 1, 5)))
+    assert recorded[0][1] == ('(SELECT * FROM "public"."events" WHERE "write_date" >= TIMESTAMP \'2024-01-05 00:00:00\' '
+                              'ORDER BY "write_date" ASC, "id" ASC LIMIT 100) q')
+    with pytest.raises(ValueError):
+        bounded_query("t", "a; drop", 1)
+
+
+def test_exists_asks_for_the_name_and_lets_errors_through(spark, monkeypatch):
+    asked = []
+    answers = [spark.createDataFrame([("events",)], "table_name string"), spark.createDataFrame([], "table_name string")]
+    monkeypatch.setattr(JdbcTable, "derived", lambda self, q, alias="q": asked.append(q) or answers[len(asked) - 1])
+    t = JdbcTable(spark, "jdbc:x://h/db", "Events", schema="mart")
+    assert t.exists() and not t.exists()
+    assert asked[0].endswith("WHERE lower(table_name) = 'events' AND lower(table_schema) = 'mart'")
+
+    def refused(self, q, alias="q"):
+        raise ConnectionError("no connection")
+
+    monkeypatch.setattr(JdbcTable, "derived", refused)
+    with pytest.raises(ConnectionError):  # E9: not read as a missing table
+        t.read_or_none()

@@ -118,3 +118,58 @@ def test_first_load_with_a_repeated_key_raises(spark, scratch):
     source = spark.createDataFrame([(1, 1), (1, 2)], "id long, seq int")
     with pytest.raises(DuplicateKeyError):
         jobs.incremental_load(source, LakeTable(spark, scratch("first")), "seq", keys=["id"])
+
+
+def test_key_set_cursor_reads_a_long_tie_once(spark, scratch):
+    # one value shared by 50 batches
+    source = spark.range(200).select("id", F.lit(1).alias("seq")).unionByName(spark.createDataFrame([(500, 2), (501, 0)], "id long, seq int"))
+    read = []
+
+    def load(target, resume):
+        report = jobs.incremental_load(source, target, "seq", keys=["id"], max_rows=4, resume=resume)
+        read.append(report.details["batch"].count())
+        return report
+
+    target = LakeTable(spark, scratch("cursor"))
+    target.append(source.limit(0))
+    runs = 0
+    while load(target, "keys").details["advanced"]:
+        runs += 1
+    assert runs == 51 and sum(read) == 202
+    assert sorted(r["id"] for r in target.read().collect()) == [*range(200), 500, 501]
+    with pytest.raises(ValueError):
+        load(target, "rows")
+
+
+def test_lake_to_catalog_schemas(spark, scratch):
+    import uuid
+
+    from lakesync.sources.catalog import CatalogTable, create_namespace
+
+    run = uuid.uuid4().hex[:8]
+    for name in ("a", "b"):
+        create_namespace(spark, f"mart_{name}_{run}", scratch("ns"))
+        spark.sql(f"CREATE TABLE mart_{name}_{run}.t (id BIGINT COMMENT 'the key', v STRING, n INT) USING parquet "
+                  "COMMENT 'kept' TBLPROPERTIES ('team' = 'x')")
+    first, second = (CatalogTable(spark, "t", schema=f"mart_{n}_{run}") for n in ("a", "b"))
+    for t in (first, second):
+        t.append(spark.createDataFrame([("old", 1)], "v string, id long"))  # by name
+    lake = LakeTable(spark, scratch("lake"))
+    lake.replace(spark.createDataFrame([("x", 7), ("y", 8)], "V string, id long"))
+    jobs.truncate_load(lake, first)
+    assert sorted(tuple(r) for r in first.read().collect()) == [(7, "x", None), (8, "y", None)]
+    assert [tuple(r) for r in second.read().collect()] == [(1, "old", None)]
+    described = {r["col_name"]: (r["data_type"], r["comment"]) for r in spark.sql(f"DESCRIBE EXTENDED {first.name}").collect()}
+    assert described["id"] == ("bigint", "the key") and described["Comment"][0] == "kept" and "team=x" in described["Table Properties"][0]
+    lake.replace(spark.createDataFrame([(1, 2)], "id long, zzz int"))
+    with pytest.raises(ValueError):  # checked before the table is emptied
+        jobs.truncate_load(lake, first)
+    assert first.read().count() == 2
+    # staging replace takes the rows' definition, and may read the table it replaces
+    first.replace(first.read().select("id"))
+    assert first.read().columns == ["id"] and first.read().count() == 2
+    jobs.lake_to_staging(LakeTable(spark, lake.path), second, CatalogTable(spark, "s", schema=f"mart_a_{run}"), "id")
+    with pytest.raises(TableNotFound):
+        CatalogTable(spark, "none", schema=f"mart_a_{run}").read()
+    with pytest.raises(ValueError):
+        CatalogTable(spark, "t; drop table x")

@@ -1,6 +1,7 @@
 """CTE-1 / JOIN-1 / FLT-5 / AGG-2 changed-relation detection."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakesync.functions.windows import between_half_open, lagged_range
 from lakesync.operators.relation import relation_delta, touched_pairs
@@ -61,3 +62,31 @@ def test_windows_open_on_one_side(spark):
     assert ids(between_half_open(df, "d", "2024-01-15", None)) == [2]
     assert ids(between_half_open(df, "d", None, "2024-01-15")) == [1]
     assert ids(lagged_range(df, "d", None, "2024-01-16 01:00:01")) == [1, 2]
+
+
+def test_bitmaps_hold_exactly_the_touched_pairs_before_the_shuffle(spark):
+    from lakesync.operators.relation import touched_pairs
+
+    big = 10 ** 12
+    rel = spark.range(0, 20000, 1, 4).select((F.col("id") * 37 % 9000 - 50).alias("l"), (F.col("id") + big).alias("r"))
+    rel = rel.unionByName(spark.createDataFrame([(None, big + 3), (5, None), (None, None)], "l long, r long"))
+    left = spark.createDataFrame([(i,) for i in (-50, -1, 0, 7, 8, 32767, 8949, None)], "id long")
+    right = spark.createDataFrame([(big + i,) for i in (3, 19999, 20000)], "id long")
+    want = touched_pairs(rel, "l", "r", left, right, strategy="exists")
+    spark.conf.set("lakesync.relation.broadcastIds", "1")
+    try:
+        got = touched_pairs(rel, "l", "r", left, right)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "bitmap" in plan and "LeftSemi" not in plan
+        # every row that reaches the DISTINCT's exchange is a touched pair
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and got.count() > 10
+        kept = touched_pairs(rel, "l", "r", left, right, strategy="bitmap")
+        before_exchange = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert before_exchange.index("Aggregate") < before_exchange.index("Filter")
+        spark.conf.set("lakesync.relation.bitmapBytes", "4096")
+        semi = touched_pairs(rel, "l", "r", left, right)
+        assert "LeftSemi" in semi._jdf.queryExecution().executedPlan().toString()
+        assert semi.exceptAll(want).count() == 0 and want.exceptAll(semi).count() == 0
+    finally:
+        spark.conf.unset("lakesync.relation.broadcastIds")
+        spark.conf.unset("lakesync.relation.bitmapBytes")

@@ -17,13 +17,23 @@ def test_stream_drains_files_and_replay_is_idempotent(spark, scratch):
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
     first = target.read().select(*events.columns)
     assert first.exceptAll(events).count() == 0 and events.exceptAll(first).count() == 0
-    snapshots = len(target.snapshots())
+    versions = len(target.versions())
     # same checkpoint: nothing new to process
     stream_incremental_load(spark, landing, events.schema, target, keys=["event_id"])
-    assert len(target.snapshots()) == snapshots
+    assert len(target.versions()) == versions
     # a lost checkpoint replays every file: the upsert leaves the same rows
     stream_incremental_load(spark, landing, events.schema, target, keys=["event_id"],
                             checkpoint_location=scratch("fresh-ckpt"))
     again = target.read().select(*events.columns)
     assert again.exceptAll(events).count() == 0 and events.exceptAll(again).count() == 0
     assert again.groupBy("event_id").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_stream_keeps_the_newer_version_across_micro_batches(spark, scratch):
+    landing = scratch("versions")
+    rows = lambda *r: spark.createDataFrame(list(r), "id long, seq int, v string").coalesce(1)
+    for part in (rows((1, 5, "new"), (2, 1, "a")), rows((1, 3, "late"), (2, 2, "b"))):
+        part.write.mode("append").parquet(landing)
+    target = LakeTable(spark, scratch("versioned"))
+    stream_incremental_load(spark, landing, rows((0, 0, "")).schema, target, max_files_per_trigger=1, order_col="seq")
+    assert sorted(tuple(r) for r in target.read().collect()) == [(1, 5, "new"), (2, 2, "b")]

@@ -87,8 +87,10 @@ def test_property_upsert_matches_merge_definition(spark, target_rows, source_row
             seen.add(k)
     target = spark.createDataFrame(target_rows, "id long, v long")
     source = spark.createDataFrame(src, "id long, v long")
-    src_keys = {k for k, _ in src if k is not None}
-    want = [r for r in target_rows if r[0] is None or r[0] not in src_keys] + src
+    values = {k: v for k, v in src if k is not None}
+    held = {k for k, _ in target_rows}
+    want = [(k, values.get(k, v) if k is not None else v) for k, v in target_rows]
+    want += [r for r in src if r[0] is None or r[0] not in held]
     for bk in (None, 1000):
         got = upsert(target, source, "id", broadcast_keys=bk)
         assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
