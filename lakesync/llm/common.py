@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesync.session import scratch_path
+from lakesync.sources import files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +22,50 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Scratch:
+    """Tables written to the shared scratch folder by one operator, deleted when
+    it no longer needs them: at the latest when the ``with`` block ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[tuple[DataFrame, str]] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.free(*[df for df, _ in self.paths])
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` written and read back, until freed."""
+        path = scratch_path(self.spark, "step")
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths.append((out, path))
+        return out
+
+    def free(self, *frames: DataFrame) -> None:
+        for out, path in [x for x in self.paths if any(x[0] is f for f in frames)]:
+            files.delete(self.spark, path)
+            self.paths = [x for x in self.paths if x[0] is not out]
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """``df`` written and read back, to outlive the block."""
+        return stored(df, "result")
+
+
+def with_position(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """file, row (place in its Parquet file), doc_id, text and ``doc`` (the whole
+    row), which identify every row however ``docs`` is read again. A frame that
+    is not a plain file scan is written first."""
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    read = [F.col("doc_id"), F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")]
+    try:
+        return docs.select(*place, *read)
+    except AnalysisException:
+        return scratch.keep(docs).select(*place, *read)
+
+
 def balanced(df: DataFrame) -> DataFrame:
     """Rows dealt round-robin when the input has fewer splits than the session's
     cores, so that per-row Python work uses all of them."""
