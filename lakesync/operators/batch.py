@@ -353,7 +353,9 @@ def bounded_batch(source: DataFrame, column: str, max_rows: int = 100_000, keys:
     if checkpoint is not None:
         bound = checkpoint.lit() if hasattr(checkpoint, "lit") else checkpoint
         rows = source.filter(since(source, column, bound))
-    keys = [k for k in keys if k in source.columns]
+    missing = [k for k in keys if k not in source.columns]
+    if missing:
+        raise ValueError(f"source lacks the key columns {missing}")
     if strategy == "sorted" and not with_ties:
         return first_rows_sorted(rows, column, max_rows, keys)
     if strategy not in ("filter", "sorted"):

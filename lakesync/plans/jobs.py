@@ -103,13 +103,14 @@ def drain(load) -> int:
 
 
 def daily_incremental_load(spark, source: DataFrame, root: str, data_source: str, source_name: str,
-                           table: str, column: str, run_date: _dt.date | str, **kwargs) -> RunReport:
+                           table: str, column: str, run_date: _dt.date | str, sink=LakeTable, **kwargs) -> RunReport:
     """JOB-2: JOB-1 into ``.../{source}_daily/{table}_{run_date}`` (SRC-6).
 
     As in the reference, a new day's table starts empty, so its first run
     loads the oldest rows of the whole source (E8); ``run_date`` is explicit.
+    ``sink`` makes the table object of a path.
     """
-    target = LakeTable(spark, table_path(root, data_source, source_name, table, run_date=run_date))
+    target = sink(spark, table_path(root, data_source, source_name, table, run_date=run_date))
     return incremental_load(source, target, column, **kwargs)
 
 

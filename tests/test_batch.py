@@ -105,3 +105,27 @@ def test_final_filter_is_pushed_to_parquet(spark):
     plan = first_rows(events, "ts", 100, keys=["event_id"])._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(LessThan(ts," in plan
     assert "TakeOrderedAndProject" not in plan
+
+
+def test_missing_key_columns_raise(spark):
+    df = spark.createDataFrame([(1, 2)], "n long, v long")
+    with pytest.raises(ValueError):
+        bounded_batch(df, "v", 1)
+    with pytest.raises(ValueError):
+        bounded_batch(df, "v", 1, keys=["n", "id"])
+    assert bounded_batch(df, "v", 1, keys=[]).count() == 1
+
+
+def test_sketch_path_on_each_type(spark):
+    """Brackets by a sketch, for every type that has one, and a heavy tie."""
+    base = spark.range(0, 6000, 1, 6).select("id", ((F.col("id") * 7919) % 6000).alias("k"))
+    types = {"int": F.col("k").cast("int") - 3000, "bigint": (F.col("k") - 3000) * 10 ** 12, "double": F.col("k") / 7 - 300,
+             "decimal(20,4)": (F.col("k") / 8).cast("decimal(20,4)"), "date": F.date_add(F.lit("1960-01-01"), F.col("k").cast("int")),
+             "timestamp": F.timestamp_micros(F.col("k") * 999_999_937), "timestamp_ntz": F.timestamp_micros(F.col("k") * 86_399_999_999).cast("timestamp_ntz")}
+    for name, value in types.items():
+        df = base.select("id", F.when(F.col("k") % 3 == 0, value).when(F.col("k") % 3 == 1, F.lit(None)).otherwise(
+            F.when(F.col("k") == 2, value)).alias("v")).unionByName(base.filter("k < 1500").select((F.col("id") + 10 ** 6).alias("id"), types[name].alias("v")).limit(0))
+        for n in (1, 700, 1999, 2001, 5000):
+            got = first_rows(df, "v", n, keys=["id"], exact_rows=40)
+            want = first_rows_sorted(df, "v", n, keys=["id"])
+            assert got.exceptAll(want).count() == 0 and got.count() == n, (name, n)
