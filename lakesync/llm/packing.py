@@ -14,11 +14,14 @@ rows and ids are packed row by row. An empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,13 @@ NEARLY_FULL = 0.98
 CARRY = 64
 FAN_IN = 8
 CLOSING_ID = 0
+CACHE_PARTS = 300_000
+NEW_PARTS = 4096
+TEXTS = 128
+
+# Latin letters (as one code point), digits, ASCII marks but the apostrophe.
+_PLAIN = re.compile(r"[A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF!-&(-/:-@\[-`{-~ \t\n\r]+")
+_PART = re.compile(r"[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 
 _TOKENIZERS: dict = {}
 
@@ -41,27 +51,96 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
+class TextIds:
+    """Token ids of texts from those of their parts.
+
+    The tokenizer drops white space and no token, nor any step of its normalizer,
+    reaches across it, so a text's ids are those of its chunks between ASCII blanks,
+    one after the other. A text of nothing but Latin letters, digits and ASCII marks
+    (without the apostrophe of its contractions and the opening of a special token)
+    is cut as the tokenizer cuts it, into runs of small letters, digits and runs of
+    marks. New parts are encoded together; of the known ones those that are not used
+    again are forgotten when the cache is full."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self._forget()
+        self.older, self.older_ids = {}, None
+
+    def _forget(self) -> None:
+        """No part known: ``known`` numbers parts, ``start`` says where the ids of
+        each begin in ``flat``."""
+        self.known: dict = {}
+        self.start, self.flat = np.zeros(1, np.int64), np.empty(0, "<u4")
+
+    def _add(self, parts: list, ids: list) -> None:
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts))))
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
+        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(ids), "<u4", int(size.sum()))])
+
+    @staticmethod
+    def parts(text: str | None) -> list:
+        """Small parts (str) of a plain text, chunks (bytes) of any other."""
+        if not text:
+            return []
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return _PART.findall(text.lower())
+        return text.encode("utf-8").split()
+
+    def learn(self, parts) -> None:
+        """Makes the ids of these parts known, until the next call."""
+        if len(self.known) > CACHE_PARTS:
+            self.older, self.older_ids = self.known, (self.start, self.flat)
+            self._forget()
+        new = set(parts).difference(self.known)
+        again = list(new.intersection(self.older))
+        if again:
+            start, flat = self.older_ids
+            self._add(again, [flat[start[i]:start[i + 1]].tolist() for i in map(self.older.__getitem__, again)])
+        new = list(new.difference(self.older))
+        words = [x for x in new if isinstance(x, str) and x.isascii() and x.isalpha()]
+        model = self.tokenizer.model
+        self._add(words, [[t.id for t in model.tokenize(w)] for w in words])  # a small ASCII word is its own byte form
+        rest = [x for x in new if not (isinstance(x, str) and x.isascii() and x.isalpha())]
+        for lo in range(0, len(rest), NEW_PARTS):
+            some = rest[lo:lo + NEW_PARTS]
+            found = self.tokenizer.encode_batch_fast([x if isinstance(x, str) else x.decode("utf-8") for x in some], add_special_tokens=False)
+            self._add(some, [e.ids for e in found])
+
+    def ids(self, parts: list) -> np.ndarray:
+        at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        size = self.start[at + 1] - self.start[at]
+        return self.flat[np.repeat(self.start[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every text's token pieces."""
+    """doc_id, piece, start, length, ids_crc32 of every text's token pieces. The
+    tokenizer must split at white space and drop it, as word_bpe_49k does."""
 
     def cut(batches):
-        tok = _tokenizer(tokenizer_path)
-        for pdf in batches:
-            rows = []
-            texts = [t if t is not None else "" for t in pdf["text"]]
-            for lo in range(0, len(texts), 16):
-                encoded = tok.encode_batch(texts[lo:lo + 16], add_special_tokens=False)
-                for doc_id, enc in zip(pdf["doc_id"].iloc[lo:lo + 16], encoded):
-                    ids = np.array(enc.ids + [CLOSING_ID], dtype="<u4")
-                    for n, start in enumerate(range(0, len(ids), capacity)):
-                        part = ids[start:start + capacity]
-                        rows.append((None if pd.isna(doc_id) else int(doc_id), n, start, len(part), zlib.crc32(part.tobytes())))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
-
-    return balanced(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))).mapInPandas(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+        known = TextIds(_tokenizer(tokenizer_path))
+        for b in batches:
+            for lo in range(0, b.num_rows, TEXTS):
+                part = b.slice(lo, TEXTS)
+                texts = [known.parts(t.as_py()) for t in part.column(1)]
+                known.learn(itertools.chain.from_iterable(texts))
+                row, piece, start, length, crc = [], [], [], [], []
+                for i, text in enumerate(texts):
+                    ids = np.append(known.ids(text), np.array([CLOSING_ID], "<u4"))
+                    for n, at in enumerate(range(0, len(ids), capacity)):
+                        own = ids[at:at + capacity]
+                        row.append(i)
+                        piece.append(n)
+                        start.append(at)
+                        length.append(len(own))
+                        crc.append(zlib.crc32(own.tobytes()))
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return balanced(read).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(sizes: np.ndarray, capacity: int):
@@ -108,24 +187,26 @@ def _pack(capacity: int, carry: int):
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, carry: int = CARRY) -> DataFrame:
-    """Places (uid, sequence_id, offset) for items (uid, size); uids are unique."""
+    """Places (uid, sequence_id, offset) for items (uid, size); uids are unique.
+
+    Only the bins that a level passes on move up the tree; when it ends, each
+    level's bins are told where they came to lie, from the top down, and the items
+    learn it in one join."""
     schema = "uid long, bin long, offset long, fill long, passed boolean"
     groups = max(1, items.rdd.getNumPartitions())
-    placed = stored(items.select("uid", "size").repartition(groups, "uid").mapInPandas(_pack(capacity, carry), schema), "pack")
-    while True:
-        open_bins = placed.where("passed").select(F.col("bin").alias("uid"), F.col("fill").alias("size")).distinct()
-        if groups == 1:
-            break
+    levels = [stored(items.select("uid", "size").repartition(groups, "uid").mapInPandas(_pack(capacity, carry), schema), "pack")]
+    while groups > 1:
         groups = -(-groups // FAN_IN)
-        merged = stored(open_bins.withColumn("g", F.pmod(F.xxhash64("uid"), F.lit(groups))).repartition(groups, "g")
-                        .select("uid", "size").mapInPandas(_pack(capacity, carry), schema), "pack")
-        up = merged.select(F.col("uid").alias("bin"), F.col("bin").alias("up_bin"), F.col("offset").alias("up_offset"),
-                           F.col("fill").alias("up_fill"), F.col("passed").alias("up_passed"))
-        placed = stored(placed.join(up, "bin", "left").select(
-            "uid", F.coalesce("up_bin", "bin").alias("bin"),
-            (F.col("offset") + F.coalesce("up_offset", F.lit(0))).alias("offset"),
-            F.coalesce("up_fill", "fill").alias("fill"),
-            F.coalesce("up_passed", F.lit(False)).alias("passed")), "pack")
+        bins = levels[-1].where("passed").select(F.col("bin").alias("uid"), F.col("fill").alias("size")).distinct()
+        group = F.pmod(F.xxhash64("uid"), F.lit(groups)).cast("int")
+        # group i goes to task i
+        levels.append(stored(bins.repartitionById(groups, group).mapInPandas(_pack(capacity, carry), schema), "pack"))
+    # where the items of a level lie: in the bin that took their bin up, or in their own
+    placed = levels.pop().select("uid", "bin", "offset")
+    while levels:
+        up = placed.select(F.col("uid").alias("bin"), F.col("bin").alias("up"), F.col("offset").alias("up_offset"))
+        placed = levels.pop().join(up, "bin", "left").select(
+            "uid", F.coalesce("up", "bin").alias("bin"), (F.col("offset") + F.coalesce("up_offset", F.lit(0))).alias("offset"))
     return placed.select("uid", F.col("bin").alias("sequence_id"), "offset")
 
 
