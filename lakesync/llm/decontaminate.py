@@ -56,9 +56,18 @@ def _seeds(hashes: str, lengths: list[int], length=None):
     return F.concat(none, *[places(mask) for mask in sorted({m for w in lengths for m in masks_of(w)})])
 
 
+def _row_key():
+    """The hash that stands for a row's doc_id and text."""
+    return F.xxhash64("doc_id", F.col("text").cast("string"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start (token), n_same, n_item and best_window of every
     item leaked into a document."""
+    return _leaks(docs, benchmark).drop("key")
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     b = benchmark.select("item_id", _tokens(F.col("text").cast("string")).alias("item")).where(F.size("item") > 0)
     b = stored(b.withColumn("item_key", F.xxhash64("item")), "benchmark")
     items = b.groupBy("item_key").agg(F.first("item").alias("item"))
@@ -67,8 +76,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     seeds = items.withColumn("hs", F.transform("item", lambda t: F.xxhash64(t)))
     seeds = seeds.select("item_key", F.explode(_seeds("hs", lengths, length)).alias("s"))
     seeds = stored(seeds.select("item_key", F.col("s.pos").alias("item_pos"), "s.h").distinct(), "seeds")
-    d = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    d = d.withColumn("key", F.xxhash64("doc_id", "text"))
+    d = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), _row_key().alias("key")).where("text is not null")
     found = d.select("key", F.transform(_tokens(F.col("text")), lambda t: F.xxhash64(t)).alias("hs")) \
         .select("key", F.explode(_seeds("hs", lengths)).alias("s")).select("key", "s.pos", "s.h")
     if seeds.count() <= BROADCAST_ROWS:  # rows of three numbers; beyond it a shuffle join
@@ -85,10 +93,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                          F.greatest("diag", F.lit(0)).alias("start")).where(F.col("best_window") >= SIMILARITY * F.col("w"))
     top = pairs.groupBy("key", "item_key").agg(F.max(F.struct("best_window", "n_same", (-F.col("start")).alias("s"), "doc_id", "n_item")).alias("t"))
     return top.join(b.select("item_key", "item_id"), "item_key").select(
-        "t.doc_id", "item_id", (-F.col("t.s")).alias("start"), "t.n_same", "t.n_item", "t.best_window")
+        "key", "t.doc_id", "item_id", (-F.col("t.s")).alias("start"), "t.n_same", "t.n_item", "t.best_window")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a leaked item. Rows with a null
-    doc_id stay."""
-    return docs.join(stored(leaks(docs, benchmark), "leaks").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows that hold a leaked item. Rows are judged one by
+    one, by their doc_id (null or not) and text: a clean row stays beside a leaked
+    one of its doc_id."""
+    bad = stored(_leaks(docs, benchmark), "leaks").select(F.col("key").alias("_leaked")).distinct()
+    return docs.join(bad, _row_key() == F.col("_leaked"), "left_anti")
