@@ -19,14 +19,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents whose text has a language; the model learns from the rows of
     ``docs`` with a lang value. Texts without letters (or null) go."""
     model = language_id.fit(docs)
-    return language_id.identify(docs, model, docs.columns).where("lang_pred <> 'und'").select(*docs.columns)
+    return language_id.in_a_language(docs, model)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each near-duplicate group (five-word shingles,
-    similarity 0.8); documents without words stay."""
-    kept = near_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each near-duplicate group (five-word shingles, similarity
+    0.8), that of the smallest doc_id; documents without words stay."""
+    return near_dedup.one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
