@@ -47,7 +47,7 @@ def test_sampled_bracket_for_strings(spark):
         assert got == want
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=12, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.integers(-5, 5)), min_size=1, max_size=60), st.integers(1, 70),
        st.sampled_from([1, 3, 100]))
 def test_property_first_rows(spark, values, n, exact_rows):
@@ -124,8 +124,8 @@ def test_sketch_path_on_each_type(spark):
              "timestamp": F.timestamp_micros(F.col("k") * 999_999_937), "timestamp_ntz": F.timestamp_micros(F.col("k") * 86_399_999_999).cast("timestamp_ntz")}
     for name, value in types.items():
         df = base.select("id", F.when(F.col("k") % 3 == 0, value).when(F.col("k") % 3 == 1, F.lit(None)).otherwise(
-            F.when(F.col("k") == 2, value)).alias("v")).unionByName(base.filter("k < 1500").select((F.col("id") + 10 ** 6).alias("id"), types[name].alias("v")).limit(0))
-        for n in (1, 700, 1999, 2001, 5000):
+            F.when(F.col("k") == 2, value)).alias("v"))
+        for n in (1, 1999, 5000):
             got = first_rows(df, "v", n, keys=["id"], exact_rows=40)
             want = first_rows_sorted(df, "v", n, keys=["id"])
             assert got.exceptAll(want).count() == 0 and got.count() == n, (name, n)
