@@ -20,19 +20,21 @@ Semantics kept from MERGE, whatever the source's size:
 
 Plan: a left join of the target with the source, and an anti-join for the new
 rows. When the source is known to be small (a bounded batch) it is broadcast
-after its row count is checked, so the target is scanned and never shuffled;
-otherwise both sides shuffle on the key and AQE may split skewed keys.
+after its rows and bytes are checked, so the target is scanned and never shuffled.
+If only its keys are small they are broadcast, and the target rows that have one
+are shuffled. Otherwise both sides shuffle on the key and AQE may split skewed keys.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Sequence
+from typing import NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DataType,
     DateType,
     MapType,
@@ -46,8 +48,10 @@ from pyspark.sql.types import (
 
 from lakesync.functions.windows import typed_lit, value_text
 
-# Most source keys broadcast to the anti-join (checked by counting).
+# Most source rows whose keys or values are broadcast (checked by counting).
 DEFAULT_BROADCAST_KEYS = 2_000_000
+# Most bytes of one broadcast (checked by summing): the driver collects it.
+BROADCAST_BYTES = 8 << 20
 
 
 class DuplicateKeyError(ValueError):
@@ -123,34 +127,63 @@ def _non_null(keys: list[str]) -> Column:
     return cond
 
 
+class Fit(NamedTuple):
+    """Whether a source has few enough rows to be compared with the target's, and
+    whether its keys and its whole rows are small enough to be broadcast."""
+
+    compared: bool
+    keys: bool
+    rows: bool
+
+
 @dataclass(frozen=True)
 class KeySummary:
     """Non-NULL-key rows of a source, the largest number sharing one key
-    (``None`` when not counted per key) and each key column's (min, max) as
-    exact text (``None`` when there is no non-NULL key)."""
+    (``None`` when not counted per key), each key column's (min, max) as
+    exact text (``None`` when there is no non-NULL key), and about how many bytes
+    the keys and the whole rows take."""
 
     rows: int
     most: int | None
     bounds: list[tuple[str, str]] | None
+    key_bytes: int
+    row_bytes: int
+
+    def fit(self, broadcast_keys: int | None) -> Fit:
+        few = bool(broadcast_keys) and self.rows <= broadcast_keys
+        return Fit(few, few and self.key_bytes <= BROADCAST_BYTES, few and self.row_bytes <= BROADCAST_BYTES)
+
+
+def row_width(schema, columns: Sequence[str]) -> Column:
+    """About the bytes of a row's ``columns`` in memory: 8 for each and 8 for the
+    row, and what text, binary and nested values hold besides."""
+    width = F.lit(8 * (len(columns) + 1)).cast("long")
+    for f in schema.fields:
+        if f.name in columns and not isinstance(f.dataType, (NumericType, BooleanType, NullType, *_DATETIME)):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
+    return width
 
 
 def summarize_keys(source: DataFrame, keys: str | Sequence[str], per_key: bool = True) -> KeySummary:
-    """One job: row count, per-key multiplicity (with ``per_key``) and key
-    range. Per-key counts are a partial (map-side) aggregate."""
+    """One job: row count, per-key multiplicity (with ``per_key``), key range and
+    bytes. Per-key counts are a partial (map-side) aggregate."""
     keys = _keys(keys)
     types = {f.name: f.dataType for f in source.schema.fields}
-    base = source.filter(_non_null(keys))
+    base = source.filter(_non_null(keys)).select(
+        *keys, row_width(source.schema, keys).alias("__key_bytes"), row_width(source.schema, source.columns).alias("__row_bytes"))
+    sizes = [F.sum(c).alias(c) for c in ("__key_bytes", "__row_bytes")]
     if per_key:
-        base = base.groupBy(*keys).count()
-        aggs = [F.sum("count").alias("rows"), F.max("count").alias("most")]
+        base = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"), *sizes)
+        aggs = [F.sum("count").alias("rows"), F.max("count").alias("most"), *sizes]
     else:
-        aggs = [F.count(F.lit(1)).alias("rows"), F.lit(None).cast("long").alias("most")]
+        aggs = [F.count(F.lit(1)).alias("rows"), F.lit(None).cast("long").alias("most"), *sizes]
     for i, k in enumerate(keys):
         aggs += [value_text(F.min(k), types[k]).alias(f"lo{i}"), value_text(F.max(k), types[k]).alias(f"hi{i}")]
     row = base.agg(*aggs).first()
     rows = int(row["rows"] or 0)
     bounds = [(row[f"lo{i}"], row[f"hi{i}"]) for i in range(len(keys))] if rows else None
-    return KeySummary(rows, None if row["most"] is None else int(row["most"]), bounds)
+    return KeySummary(rows, None if row["most"] is None else int(row["most"]), bounds,
+                      int(row["__key_bytes"] or 0), int(row["__row_bytes"] or 0))
 
 
 def key_stats(source: DataFrame, keys: str | Sequence[str]) -> tuple[int, int]:
@@ -227,7 +260,7 @@ def prepare_source(target: DataFrame, source: DataFrame, keys: str | Sequence[st
     return incoming, summarize_keys(incoming, keys, per_key=False)
 
 
-def updated_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], small: bool,
+def updated_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], fit: Fit,
                  order_col: str | None = None) -> DataFrame:
     """The rows of ``target``, each with the values of the source row of its key
     if there is one (and, with ``order_col``, if that is not older)."""
@@ -238,19 +271,23 @@ def updated_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[st
         newer = newer & F.coalesce(F.col(f"__src.`{order_col}`") >= F.col(order_col), F.col(order_col).isNull())
     take = lambda rows: rows.select(*[
         F.col(c) if c in keys else F.when(newer, F.col(f"__src.`{c}`")).otherwise(F.col(c)).alias(c) for c in target.columns])
-    if small:
+    if fit.rows:
         return take(target.join(F.broadcast(source), on=keys, how="left"))
+    if fit.keys:  # only target rows with a key of the source are shuffled
+        wanted = F.broadcast(source.select(*keys))
+        return take(target.join(wanted, on=keys, how="left_semi").join(source, on=keys, how="left")).unionByName(
+            target.join(wanted, on=keys, how="left_anti"))
     # NULL-key target rows can never match, so they bypass the exchange
     # instead of all hashing to one reducer; AQE can split a hot key of the
     # target, the left side.
     return take(target.filter(_non_null(keys)).join(source, on=keys, how="left")).unionByName(target.filter(~_non_null(keys)))
 
 
-def unmatched_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], small: bool) -> DataFrame:
+def unmatched_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], fit: Fit) -> DataFrame:
     """The source rows whose key no target row has."""
     keys = _keys(keys)
     present = target.select(*keys).filter(_non_null(keys))
-    if not small:  # de-duplicated before the exchange: AQE cannot split the right side of an anti-join
+    if not fit.keys:  # de-duplicated before the exchange: AQE cannot split the right side of an anti-join
         return incoming.join(present.distinct(), on=keys, how="left_anti")
     wanted = F.broadcast(incoming.select(*keys).filter(_non_null(keys)))
     # at most as many keys as the source has
@@ -258,11 +295,11 @@ def unmatched_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[
     return incoming.join(present, on=keys, how="left_anti")
 
 
-def merge_prepared(target: DataFrame, incoming: DataFrame, keys: Sequence[str], n_keys: int,
+def merge_prepared(target: DataFrame, incoming: DataFrame, keys: Sequence[str], summary: KeySummary,
                    broadcast_keys: int | None = DEFAULT_BROADCAST_KEYS, order_col: str | None = None) -> DataFrame:
     """The merged table from a prepared source (see :func:`prepare_source`)."""
-    small = bool(broadcast_keys) and n_keys <= broadcast_keys
-    return updated_rows(target, incoming, keys, small, order_col).unionByName(unmatched_rows(target, incoming, keys, small))
+    fit = summary.fit(broadcast_keys)
+    return updated_rows(target, incoming, keys, fit, order_col).unionByName(unmatched_rows(target, incoming, keys, fit))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
@@ -270,7 +307,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *,
            broadcast_keys: int | None = DEFAULT_BROADCAST_KEYS) -> DataFrame:
     """New contents of ``target`` after merging ``source`` on ``keys``."""
     incoming, summary = prepare_source(target, source, keys, on_duplicate, order_col)
-    return merge_prepared(target, incoming, _keys(keys), summary.rows, broadcast_keys,
+    return merge_prepared(target, incoming, _keys(keys), summary, broadcast_keys,
                           version_col(target, on_duplicate, order_col))
 
 
@@ -299,16 +336,18 @@ def key_range(source: DataFrame, keys: Sequence[str], schema) -> Column | None:
 FILE = "__file"
 
 
-def match_files(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], summary: KeySummary, small: bool,
+def match_files(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], summary: KeySummary, fit: Fit,
                 order_col: str | None = None) -> DataFrame:
     """Where the source's keys are: one row per key and target file, with
     ``__changed`` (a merge would change a row of the key in that file).
 
     ``target`` carries its files' names in ``__file``. A small source is
     broadcast whole into one scan of the target's row groups in the source's key
-    range, and rows are compared there (NULL-safe; maps by their entries). With
-    a large source only keys and file names are shuffled and every file with a
-    matching key counts as changed. Either way the rows of one key and file are
+    range, and rows are compared there (NULL-safe; maps by their entries). If only
+    its keys are small, they are broadcast and the rows that have one are shuffled
+    to be compared; if they are not, all rows of the key range are. With more rows
+    than may be compared only keys and file names are shuffled and every file with a
+    matching key counts as changed. In each case the rows of one key and file are
     reduced inside each task first.
     """
     keys = _keys(keys)
@@ -316,7 +355,7 @@ def match_files(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str
     if summary.bounds is None:  # only NULL keys: nothing matches
         return target.limit(0).select(*keys, FILE, F.lit(False).alias(CHANGED))
     found = target.filter(_non_null(keys) & range_filter(keys, summary.bounds, target.schema))
-    if small:
+    if fit.compared:
         types = {f.name: f.dataType for f in target.schema.fields}
         rest = [c for c in target.columns if c not in keys and c != FILE]
         source = source.select(*keys, F.struct(F.lit(True).alias("__hit"), *rest).alias("__src"))
@@ -326,7 +365,11 @@ def match_files(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str
         changed = ~same
         if order_col:
             changed = changed & F.coalesce(F.col(f"__src.`{order_col}`") >= F.col(order_col), F.col(order_col).isNull())
-        hits = found.join(F.broadcast(source), on=keys).select(*keys, FILE, changed.alias(CHANGED))
+        if fit.rows:
+            source = F.broadcast(source)
+        elif fit.keys:
+            found = found.join(F.broadcast(source.select(*keys)), on=keys, how="left_semi")
+        hits = found.join(source, on=keys).select(*keys, FILE, changed.alias(CHANGED))
     else:
         hits = found.select(*keys, FILE).join(source.select(*keys), on=keys, how="left_semi").withColumn(CHANGED, F.lit(True))
     return hits.groupBy(*keys, FILE).agg(F.bool_or(CHANGED).alias(CHANGED))
@@ -415,7 +458,7 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: str | Sequence[st
     incoming = align_to(source, target.schema)
     src_keys = incoming.select(*keys).filter(_non_null(keys))
     summary = summarize_keys(incoming, keys, per_key=False) if broadcast_keys else None
-    if summary is not None and summary.rows <= broadcast_keys:
+    if summary is not None and summary.fit(broadcast_keys).keys:
         # one job gave the size checked for the broadcast and the key range
         if summary.bounds is None:
             return incoming

@@ -274,18 +274,18 @@ class LakeTable:
         # The prepared source is read up to four times (key summary, match,
         # updates, new rows); it is cached for this call only and recomputed if lost.
         incoming, summary = prepare_source(target.drop(FILE), spelled(source, base.schema), keys, on_duplicate, order_col, persist=True)
-        small = bool(broadcast_keys) and summary.rows <= broadcast_keys
+        fit = summary.fit(broadcast_keys)
         version = version_col(target, on_duplicate, order_col)
-        matched = match_files(target, incoming, keys, summary, small, version).persist()
+        matched = match_files(target, incoming, keys, summary, fit, version).persist()
         try:
             # one name per file to rewrite
             touched = {r[FILE] for r in matched.filter(CHANGED).select(FILE).distinct().collect()}
             present = matched.select(*keys).distinct()
-            fresh = incoming.join(F.broadcast(present) if small else present, on=keys, how="left_anti")
+            fresh = incoming.join(F.broadcast(present) if fit.keys else present, on=keys, how="left_anti")
             if not touched:
                 self._commit(base, {**base.segments, self.write_segment(fresh): []}, base.schema)
                 return "append"
-            rows = updated_rows(self.files_of(base, touched), incoming, keys, small, version)
+            rows = updated_rows(self.files_of(base, touched), incoming, keys, fit, version)
             self.replace_files(base, touched, rows.unionByName(fresh))
             return "rewrite"
         finally:

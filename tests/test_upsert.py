@@ -1,6 +1,10 @@
 """DML-1/DML-2 upsert semantics on hand-made edge tables (FIXTURES.md C)."""
 
+import re
+import sys
+
 import pytest
+from pyspark.sql import functions as F
 
 from lakesync.sources.lake import LakeTable
 from lakesync.operators.upsert import DuplicateKeyError, insert_missing, upsert
@@ -71,6 +75,45 @@ def test_small_source_is_broadcast_and_target_not_shuffled(spark):
     assert "SortMergeJoin" not in plan
 
 
+def test_wide_source_rows_are_not_broadcast(spark):
+    # 18 MB in 300 rows: their keys are broadcast, the rows are not
+    source = spark.range(300).select("id", F.repeat(F.lit("x"), 60_000).alias("v"))
+    target = spark.range(200, 1000).select(F.col("id"), F.lit("old").alias("v"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = upsert(target, source, "id")
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert re.search("BroadcastHashJoin.*LeftSemi", plan) and not re.search("BroadcastHashJoin.*LeftOuter", plan)
+    assert _rows(merged.groupBy(F.length("v").alias("n")).count()) == [(3, 700), (60_000, 300)]
+
+
+@pytest.mark.parametrize("most", [0, 200, 1 << 20])
+def test_merge_is_the_same_whatever_fits_a_broadcast(spark, scratch, monkeypatch, most):
+    """Nothing, the keys or whole rows are broadcast: the same rows, and an append
+    where no row of the table changes."""
+    module = sys.modules[upsert.__module__]
+    monkeypatch.setattr(module, "BROADCAST_BYTES", most, raising=False)
+    rows = lambda *r: spark.createDataFrame(list(r), "id long, seq int, v string")
+    long = "x" * 500
+    summary = module.summarize_keys(rows((1, 1, long), (2, 1, None), (None, 1, "n")), "id")
+    assert (summary.key_bytes, summary.row_bytes) == (32, 64 + 500)
+    assert tuple(summary.fit(10)) == (True, most >= 32, most >= 564) and not any(summary.fit(1)) and not any(summary.fit(None))
+    t = LakeTable(spark, scratch("fits"))
+    t.append(rows((1, 1, long), (1, 1, long), (2, 1, None), (None, 1, "n")))
+    t.append(rows((3, 5, "c")))
+    latest = dict(on_duplicate="latest", order_col="seq")
+    assert t.merge(rows((1, 1, long), (2, 1, None), (3, 4, "old"), (4, 1, "d")), "id", **latest) == "append"
+    assert t.merge(rows((1, 2, long), (3, 4, "old"), (5, 1, "e"), (None, 2, "m")), "id", **latest) == "rewrite"
+    assert len(t.current().replaced) >= 1
+    assert _rows(t.read()) == sorted([(1, 2, long), (1, 2, long), (2, 1, None), (None, 1, "n"), (3, 5, "c"), (4, 1, "d"),
+                                      (5, 1, "e"), (None, 2, "m")], key=repr)
+    assert _rows(insert_missing(t.read(), rows((4, 9, "z"), (6, 1, "f")), "id")) == [(6, 1, "f")]
+
+
+
 from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
