@@ -16,12 +16,12 @@ from __future__ import annotations
 
 import itertools
 import os
-import re
 import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,15 +32,17 @@ NEARLY_FULL = 0.98
 CARRY = 64
 FAN_IN = 8
 CLOSING_ID = 0
-CACHE_PARTS = 300_000
+CACHE_PARTS = 400_000
 NEW_PARTS = 4096
-TEXTS = 128
+TEXT_BYTES = 32 << 20
 
 # Latin letters (as one code point), digits, ASCII marks but the apostrophe.
-_PLAIN = re.compile(r"[A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF!-&(-/:-@\[-`{-~ \t\n\r]+")
-_PART = re.compile(r"[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+_MARKS, _SMALL = r"!-&(-/:-@\[-`{-~", "a-z\u00DF-\u00F6\u00F8-\u00FF"
+_PLAIN = f"^[{_SMALL}A-Z\u00C0-\u00D6\u00D8-\u00DE0-9{_MARKS}]+$"
+_PART = f"[{_SMALL}]+|[0-9]|[{_MARKS}]+"
 
 _TOKENIZERS: dict = {}
+_KNOWN: dict = {}
 
 
 def _tokenizer(path: str):
@@ -51,96 +53,162 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
+def _text_ids(path: str) -> TextIds:
+    """What one worker's tasks have learned so far."""
+    if path not in _KNOWN:
+        _KNOWN[path] = TextIds(_tokenizer(path))
+    return _KNOWN[path]
+
+
 class TextIds:
-    """Token ids of texts from those of their parts.
+    """Token ids of texts from those of their chunks and parts.
 
     The tokenizer drops white space and no token, nor any step of its normalizer,
     reaches across it, so a text's ids are those of its chunks between ASCII blanks,
-    one after the other. A text of nothing but Latin letters, digits and ASCII marks
+    one after the other. A chunk of nothing but Latin letters, digits and ASCII marks
     (without the apostrophe of its contractions and the opening of a special token)
     is cut as the tokenizer cuts it, into runs of small letters, digits and runs of
-    marks. New parts are encoded together; of the known ones those that are not used
-    again are forgotten when the cache is full."""
+    marks. Chunks and parts are Arrow arrays: only distinct new parts are encoded one
+    by one. Of the known ones those that are not used again are forgotten when the
+    cache is full."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         self._forget()
-        self.older, self.older_ids = {}, None
+        self.older = (self.known, self.start, self.flat)
 
     def _forget(self) -> None:
-        """No part known: ``known`` numbers parts, ``start`` says where the ids of
-        each begin in ``flat``."""
-        self.known: dict = {}
-        self.start, self.flat = np.zeros(1, np.int64), np.empty(0, "<u4")
-
-    def _add(self, parts: list, ids: list) -> None:
+        """Nothing known but the empty chunk: ``known`` holds chunks and parts,
+        ``start`` says where the ids of each begin in ``flat``."""
+        self.known = pa.array([""], pa.large_string())
+        self.start, self.flat = np.zeros(2, np.int64), np.empty(0, "<u4")
+
+    def _add(self, some: pa.Array, size: np.ndarray, ids: np.ndarray) -> None:
+        self.known, self.start, self.flat = (
+            pa.concat_arrays([self.known, some]),
+            np.concatenate([self.start, self.start[-1] + np.cumsum(size)]),
+            np.concatenate([self.flat, ids]))
+
+    def _add_lists(self, some: pa.Array, ids: list) -> None:
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts))))
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
-        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(ids), "<u4", int(size.sum()))])
+        self._add(some, size, np.fromiter(itertools.chain.from_iterable(ids), "<u4", int(size.sum())))
 
     @staticmethod
-    def parts(text: str | None) -> list:
-        """Small parts (str) of a plain text, chunks (bytes) of any other."""
-        if not text:
-            return []
-        if _PLAIN.fullmatch(text) and "<|" not in text:
-            return _PART.findall(text.lower())
-        return text.encode("utf-8").split()
-
-    def learn(self, parts) -> None:
-        """Makes the ids of these parts known, until the next call."""
+    def chunks(texts: pa.Array) -> pa.Array:
+        """The lists of the texts' chunks, some of them empty; null counts as empty."""
+        return pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+
+    @staticmethod
+    def parts(text: str | None) -> pa.Array:
+        """The chunks of one text."""
+        return TextIds.chunks(pa.array([text], pa.large_string())).values
+
+    def learn(self, chunks: pa.Array) -> np.ndarray:
+        """Makes the ids of these chunks known until the next call; returns their numbers."""
         if len(self.known) > CACHE_PARTS:
-            self.older, self.older_ids = self.known, (self.start, self.flat)
+            self.older = (self.known, self.start, self.flat)
             self._forget()
-        new = set(parts).difference(self.known)
-        again = list(new.intersection(self.older))
-        if again:
-            start, flat = self.older_ids
-            self._add(again, [flat[start[i]:start[i + 1]].tolist() for i in map(self.older.__getitem__, again)])
-        new = list(new.difference(self.older))
-        words = [x for x in new if isinstance(x, str) and x.isascii() and x.isalpha()]
+        distinct = chunks.dictionary_encode()
+        new = _without(distinct.dictionary, self.known)
+        plain = pc.and_not(pc.match_substring_regex(new, _PLAIN), pc.match_substring(new, "<|"))
+        self._encode(new.filter(pc.invert(plain)))
+        self._compose(new.filter(plain))
+        at = _places(distinct.dictionary, self.known)
+        return at[distinct.indices.to_numpy()]
+
+    def _carry(self, new: pa.Array) -> pa.Array:
+        """Adds those known before; returns the others."""
+        known, start, flat = self.older
+        before = pc.index_in(new, value_set=known)
+        found = pc.is_valid(before)
+        at = before.drop_null().to_numpy()
+        self._add(new.filter(found), start[at + 1] - start[at], _gathered(start, flat, at))
+        return new.filter(pc.invert(found))
+
+    def _encode(self, new: pa.Array) -> None:
+        """Adds chunks or parts by the tokenizer."""
+        new = self._carry(new)
+        word = pc.match_substring_regex(new, "^[a-z]+$")  # its own byte form
+        words, rest = new.filter(word), new.filter(pc.invert(word))
         model = self.tokenizer.model
-        self._add(words, [[t.id for t in model.tokenize(w)] for w in words])  # a small ASCII word is its own byte form
-        rest = [x for x in new if not (isinstance(x, str) and x.isascii() and x.isalpha())]
+        self._add_lists(words, [[t.id for t in model.tokenize(w)] for w in words.to_pylist()])
         for lo in range(0, len(rest), NEW_PARTS):
-            some = rest[lo:lo + NEW_PARTS]
-            found = self.tokenizer.encode_batch_fast([x if isinstance(x, str) else x.decode("utf-8") for x in some], add_special_tokens=False)
-            self._add(some, [e.ids for e in found])
+            some = rest.slice(lo, NEW_PARTS)
+            self._add_lists(some, [e.ids for e in self.tokenizer.encode_batch_fast(some.to_pylist(), add_special_tokens=False)])
 
-    def ids(self, parts: list) -> np.ndarray:
-        at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
-        size = self.start[at + 1] - self.start[at]
-        return self.flat[np.repeat(self.start[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
+    def _compose(self, new: pa.Array) -> None:
+        """Adds plain chunks from the ids of their parts."""
+        new = self._carry(new)
+        parts = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(new), _PART, r"\0 "))
+        distinct = parts.values.dictionary_encode()
+        self._encode(_without(distinct.dictionary, self.known))
+        at = _places(distinct.dictionary, self.known)[distinct.indices.to_numpy()]
+        upto = np.concatenate([[0], np.cumsum(self.start[at + 1] - self.start[at])])
+        size = np.diff(upto[parts.offsets.to_numpy()])
+        more = pc.invert(pc.is_in(new, value_set=self.known))  # the others are parts themselves
+        keep = more.to_numpy(zero_copy_only=False)
+        self._add(new.filter(more), size[keep], self.gather(at)[np.repeat(keep, size)])
 
+    def gather(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the chunks with these numbers."""
+        return _gathered(self.start, self.flat, at)
+
+    def ids(self, chunks: pa.Array) -> np.ndarray:
+        return self.gather(self.learn(chunks))
+
+
+def _without(some: pa.Array, known: pa.Array) -> pa.Array:
+    return some.filter(pc.invert(pc.is_in(some, value_set=known)))
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every text's token pieces. The
-    tokenizer must split at white space and drop it, as word_bpe_49k does."""
 
-    def cut(batches):
-        known = TextIds(_tokenizer(tokenizer_path))
+def _places(some: pa.Array, known: pa.Array) -> np.ndarray:
+    """Where in ``known`` each of ``some`` is; all are there."""
+    return pc.index_in(some, value_set=known).to_numpy()
+
+
+def _gathered(start: np.ndarray, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    size = start[at + 1] - start[at]
+    return flat[np.repeat(start[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
+
+
+def _by_bytes(b: pa.RecordBatch):
+    """Slices of at most about ``TEXT_BYTES`` of text."""
+    size = pc.binary_length(b.column(1)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    block = np.cumsum(size) // TEXT_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), b.num_rows]
+    for lo, hi in zip(edges, edges[1:]):
+        if hi > lo:
+            yield b.slice(lo, hi - lo)
+
+
+def _cut(tokenizer_path: str, capacity: int):
+    def run(batches):
+        known = _text_ids(tokenizer_path)
         for b in batches:
-            for lo in range(0, b.num_rows, TEXTS):
-                part = b.slice(lo, TEXTS)
-                texts = [known.parts(t.as_py()) for t in part.column(1)]
-                known.learn(itertools.chain.from_iterable(texts))
+            for part in _by_bytes(b):
+                texts = known.chunks(part.column(1))
+                at, upto = known.learn(texts.values), texts.offsets.to_numpy()
                 row, piece, start, length, crc = [], [], [], [], []
-                for i, text in enumerate(texts):
-                    ids = np.append(known.ids(text), np.array([CLOSING_ID], "<u4"))
-                    for n, at in enumerate(range(0, len(ids), capacity)):
-                        own = ids[at:at + capacity]
+                for i in range(len(texts)):
+                    ids = np.append(known.gather(at[upto[i]:upto[i + 1]]), np.array([CLOSING_ID], "<u4"))
+                    for n, begin in enumerate(range(0, len(ids), capacity)):
+                        own = ids[begin:begin + capacity]
                         row.append(i)
                         piece.append(n)
-                        start.append(at)
+                        start.append(begin)
                         length.append(len(own))
                         crc.append(zlib.crc32(own.tobytes()))
                 yield pa.RecordBatch.from_arrays([
                     part.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                     pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+    return run
+
 
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every text's token pieces. The
+    tokenizer must split at white space and drop it, as word_bpe_49k does."""
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return balanced(read).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return balanced(read).mapInArrow(_cut(tokenizer_path, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(sizes: np.ndarray, capacity: int):

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -543,3 +544,41 @@ def test_ids_of_parts_are_the_tokenizers(documents):
         parts = known.parts(text)
         known.learn(parts)
         assert known.ids(parts).tolist() == tok.encode(text, add_special_tokens=False).ids, text[:60]
+
+
+def test_pieces_of_batches_and_what_a_worker_has_learned(documents, monkeypatch):
+    """Pieces of slices whose parts are forgotten meanwhile; the next task of the
+    worker encodes nothing again."""
+    path, tok, calls = queries.tokenizer_path(), packing._tokenizer(queries.tokenizer_path()), []
+
+    class Counted:
+        model = property(lambda self: self)
+
+        def tokenize(self, word):
+            calls.append(word)
+            return tok.model.tokenize(word)
+
+        def encode_batch_fast(self, texts, **kw):
+            calls.extend(texts)
+            return tok.encode_batch_fast(texts, **kw)
+
+    texts = [None, "", " \n", "the The, THE. the"] + [r["text"] for r in documents.values()][:60]
+    texts += [f"a{chr(c)}B{chr(c)}{chr(c)}1 {chr(c)}" for c in range(0x21, 0x250)]
+    want = []
+    for k, text in enumerate(texts):
+        ids = np.array(tok.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        want += [(k, n, at, len(ids[at:at + 50]), zlib.crc32(ids[at:at + 50].tobytes())) for n, at in enumerate(range(0, len(ids), 50))]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(-1, len(texts))), pa.array(["cut off", *texts])], ["doc_id", "text"]).slice(1)
+    for text_bytes, cache in ((1 << 20, 10 ** 6), (500, 100), (1, 1)):
+        monkeypatch.setattr(packing, "TEXT_BYTES", text_bytes, raising=False)
+        monkeypatch.setattr(packing, "CACHE_PARTS", cache)
+        monkeypatch.setattr(packing, "_KNOWN", {}, raising=False)
+        monkeypatch.setitem(packing._TOKENIZERS, path, Counted())
+        encoded = []
+        for _ in range(2):
+            got = [tuple(r.values()) for b in packing._cut(path, 50)(iter([batch, batch.slice(0, 0)])) for r in b.to_pylist()]
+            assert got == want
+            encoded.append(len(calls))
+            calls.clear()
+        if cache == 10 ** 6:
+            assert encoded[0] > 0 and encoded[1] == 0
