@@ -260,6 +260,12 @@ def prepare_source(target: DataFrame, source: DataFrame, keys: str | Sequence[st
     return incoming, summarize_keys(incoming, keys, per_key=False)
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """``side`` for a join that must not broadcast it: what is cached looks small to
+    the planner, by its compressed size."""
+    return side.hint("merge")
+
+
 def updated_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], fit: Fit,
                  order_col: str | None = None) -> DataFrame:
     """The rows of ``target``, each with the values of the source row of its key
@@ -275,12 +281,12 @@ def updated_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[st
         return take(target.join(F.broadcast(source), on=keys, how="left"))
     if fit.keys:  # only target rows with a key of the source are shuffled
         wanted = F.broadcast(source.select(*keys))
-        return take(target.join(wanted, on=keys, how="left_semi").join(source, on=keys, how="left")).unionByName(
+        return take(target.join(wanted, on=keys, how="left_semi").join(shuffled(source), on=keys, how="left")).unionByName(
             target.join(wanted, on=keys, how="left_anti"))
     # NULL-key target rows can never match, so they bypass the exchange
     # instead of all hashing to one reducer; AQE can split a hot key of the
     # target, the left side.
-    return take(target.filter(_non_null(keys)).join(source, on=keys, how="left")).unionByName(target.filter(~_non_null(keys)))
+    return take(target.filter(_non_null(keys)).join(shuffled(source), on=keys, how="left")).unionByName(target.filter(~_non_null(keys)))
 
 
 def unmatched_rows(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], fit: Fit) -> DataFrame:
@@ -365,13 +371,12 @@ def match_files(target: DataFrame, incoming: DataFrame, keys: str | Sequence[str
         changed = ~same
         if order_col:
             changed = changed & F.coalesce(F.col(f"__src.`{order_col}`") >= F.col(order_col), F.col(order_col).isNull())
-        if fit.rows:
-            source = F.broadcast(source)
-        elif fit.keys:
+        if fit.keys and not fit.rows:
             found = found.join(F.broadcast(source.select(*keys)), on=keys, how="left_semi")
+        source = F.broadcast(source) if fit.rows else shuffled(source)
         hits = found.join(source, on=keys).select(*keys, FILE, changed.alias(CHANGED))
     else:
-        hits = found.select(*keys, FILE).join(source.select(*keys), on=keys, how="left_semi").withColumn(CHANGED, F.lit(True))
+        hits = found.select(*keys, FILE).join(shuffled(source.select(*keys)), on=keys, how="left_semi").withColumn(CHANGED, F.lit(True))
     return hits.groupBy(*keys, FILE).agg(F.bool_or(CHANGED).alias(CHANGED))
 
 

@@ -45,6 +45,7 @@ from lakesync.operators.upsert import (
     match_files,
     prepare_source,
     same_type,
+    shuffled,
     updated_rows,
     version_col,
 )
@@ -281,7 +282,7 @@ class LakeTable:
             # one name per file to rewrite
             touched = {r[FILE] for r in matched.filter(CHANGED).select(FILE).distinct().collect()}
             present = matched.select(*keys).distinct()
-            fresh = incoming.join(F.broadcast(present) if fit.keys else present, on=keys, how="left_anti")
+            fresh = incoming.join(F.broadcast(present) if fit.keys else shuffled(present), on=keys, how="left_anti")
             if not touched:
                 self._commit(base, {**base.segments, self.write_segment(fresh): []}, base.schema)
                 return "append"

@@ -90,6 +90,24 @@ def test_wide_source_rows_are_not_broadcast(spark):
     assert _rows(merged.groupBy(F.length("v").alias("n")).count()) == [(3, 700), (60_000, 300)]
 
 
+def test_a_cached_source_that_compresses_well_is_not_broadcast(spark, scratch):
+    from lakesync.operators.upsert import match_files, prepare_source, updated_rows
+
+    t = LakeTable(spark, scratch("cached"))
+    t.append(spark.range(200, 1000).select(F.col("id"), F.lit("old").alias("v")))
+    target = t.frame(t.current())
+    source = spark.range(300).select("id", F.repeat(F.lit("x"), 60_000).alias("v"))
+    incoming, summary = prepare_source(t.read(), source, "id", persist=True)
+    try:
+        fit = summary.fit(1000)
+        assert tuple(fit) == (True, True, False)
+        for df in (match_files(target, incoming, "id", summary, fit), updated_rows(t.read(), incoming, "id", fit)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and not re.search("BroadcastHashJoin.*(Inner|LeftOuter)", plan)
+    finally:
+        incoming.unpersist()
+
+
 @pytest.mark.parametrize("most", [0, 200, 1 << 20])
 def test_merge_is_the_same_whatever_fits_a_broadcast(spark, scratch, monkeypatch, most):
     """Nothing, the keys or whole rows are broadcast: the same rows, and an append
